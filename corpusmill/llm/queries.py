@@ -6,10 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, secrets
+from . import bpe, exact_dedup, neardup, secrets
 from .common import documents
 
 
+def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("class_id")
+
+
+#: The definition itself: all pairs that share a shingle, confirmed, and their closure. For small tables only.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM w
+), e AS (
+  SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.a
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.c) AS component_id, s.doc_id = min(r.c) AS kept FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -39,5 +62,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op8_bpe": op8_bpe, "op10_secrets": op10_secrets}
-SQL = {"op5_exact_dedup": OP5_SQL}
+QUERIES = {"op1_minhash_neardup": op1_minhash_neardup, "op5_exact_dedup": op5_exact_dedup, "op8_bpe": op8_bpe, "op10_secrets": op10_secrets}
+SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL}
