@@ -181,6 +181,21 @@ def decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id", ids: s
     return map_rows(encoded, [F.col(key).alias(key), F.col(ids)], f"{key} {dict(encoded.dtypes)[key]}, data binary", rows)
 
 
+def tokenized(docs: DataFrame, vocabulary_path: str, pattern: str, keep: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+    """doc_id, the columns ``keep``, n_tokens, ids, and round_trip: whether the ids decode to the very bytes of the text."""
+    shared = _shared(docs, vocabulary_path)
+
+    def rows(it: Iterator[tuple]) -> Iterable[tuple]:
+        codec = _codec(shared, pattern)
+        for *own, d in it:
+            ids = codec.encode(d.decode("utf-8", "replace"))
+            yield *own, len(ids), ids, codec.decode(ids) == d
+
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in ("doc_id", *keep)), "n_tokens long", "ids array<int>", "round_trip boolean"])
+    return map_rows(docs, ["doc_id", *keep, whole_text()], schema, rows)
+
+
 def digests(docs: DataFrame, vocabulary_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the ids decoded again).
 

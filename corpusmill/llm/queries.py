@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, neardup, secrets
+from . import bpe, chat, exact_dedup, licenses, media, mixing, neardup, quality, secrets, toxicity
 from .common import documents
 
 
@@ -47,10 +47,52 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS tex
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op3_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored_texts(documents(spark, sf_dir))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+OP6_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS txt,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS pos FROM conversations
+), v AS (
+  SELECT t.*, pos // 256 AS part, p.speaker AS perspective,
+    CASE WHEN t.speaker = p.speaker THEN '<|assistant|>' WHEN t.speaker = 'system' THEN '<|system|>' ELSE '<|user name=' || t.speaker || '|>' END || chr(10) AS head
+  FROM t JOIN (SELECT DISTINCT conv_id, speaker FROM t WHERE speaker <> 'system') p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), o AS (
+  SELECT *, sum(length(head) + length(txt) + 8) OVER (PARTITION BY conv_id, perspective, part ORDER BY pos) AS stop FROM v
+)
+SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || txt || '<|end|>' || chr(10), '' ORDER BY pos) AS text,
+  string_agg((stop - length(txt) - 8)::BIGINT || ':' || (stop - 1)::BIGINT, ',' ORDER BY pos) FILTER (speaker = perspective) AS mask,
+  sum(length(txt) + 7) FILTER (speaker = perspective) AS n_masked
+FROM o GROUP BY conv_id, perspective, part
+"""
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind_no"] < 3)
@@ -62,5 +104,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_minhash_neardup": op1_minhash_neardup, "op5_exact_dedup": op5_exact_dedup, "op8_bpe": op8_bpe, "op10_secrets": op10_secrets}
-SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_minhash_neardup, op2_toxicity, op3_ogg_media, op4_mixing, op5_exact_dedup, op6_chat_rotation, op7_quality, op8_bpe, op9_licenses, op10_secrets)
+}
+SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL}
