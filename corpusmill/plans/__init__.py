@@ -1 +1,6 @@
-"""Corpus-processing operators on Spark DataFrames."""
+"""All queries over the driver's tables; importing this package registers them."""
+
+from . import q_text  # noqa: F401
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
