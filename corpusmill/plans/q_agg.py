@@ -73,10 +73,10 @@ def agreement(read):
 
 
 @query("""
-SELECT l_suppkey, l_returnflag, w, round(share, 6) AS share FROM (SELECT *, w / sum(w) OVER (PARTITION BY l_suppkey) AS share FROM (SELECT l_suppkey, l_returnflag, sum(l_quantity) AS w FROM lineitem GROUP BY l_suppkey, l_returnflag)) WHERE share >= 0.5
+SELECT l_suppkey, l_returnflag, w, round(share, 6) AS share FROM (SELECT *, w / sum(w) OVER (PARTITION BY l_suppkey) AS share FROM (SELECT l_suppkey, l_returnflag, sum(l_quantity) AS w FROM lineitem GROUP BY l_suppkey, l_returnflag)) WHERE share >= 0.3
 """)
 def majority_vote(read):
-    return A.majority(read("lineitem"), ["l_suppkey"], "l_returnflag", "l_quantity", 0.5).select("l_suppkey", "l_returnflag", "w", F.round("share", 6).alias("share"))
+    return A.majority(read("lineitem"), ["l_suppkey"], "l_returnflag", "l_quantity", 0.3).select("l_suppkey", "l_returnflag", "w", F.round("share", 6).alias("share"))
 
 
 @query("""
