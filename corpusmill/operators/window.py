@@ -17,14 +17,14 @@ def numbered(df: DataFrame, order: list, prefix: str, width: int, into: str) ->
     Ranks over a whole table without one task sorting it all: rows are range-partitioned and sorted, counted by partition, and
     numbered from their partition's offset.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
-    dealt = cut(dealt)
-    counts = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.min("_i").alias("first"))
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = dealt.join(F.broadcast(offsets.select("_p", "first", "offset")), "_p").withColumn("_k", F.col("offset") + F.col("_i") - F.col("first") + 1)
-    return out.withColumn(into, F.concat(F.lit(prefix), F.lpad(F.col("_k").cast("string"), width, "0"))).drop("_p", "_i", "first", "offset", "_k", "n")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()))
+    counts = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))  # a row a partition
+    out = dealt.join(F.broadcast(offsets), "__part")
+    rank = (F.col("__offset") + F.col("__row") - F.col("__first") + 1).cast("string")
+    return out.withColumn(into, F.concat(F.lit(prefix), F.lpad(rank, width, "0"))).drop("__part", "__row", "__first", "__offset")
 
 
 def islands(df: DataFrame, key: list[str], value: str) -> DataFrame:
