@@ -9,25 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..lineage import checkpoint_dir, cut  # noqa: F401
+
 #: The characters that separate words and vanish in normalised texts: space, and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or "/tmp/corpusmill-checkpoints")
-    return named or "/tmp/corpusmill-checkpoints"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared checkpoint folder and reads it from there: what follows survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def whole_text(text: str = "text") -> Column:
     """The UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import components
 from .common import cut, map_rows, whole_text
-from .components import components
 
 SHINGLE = 5
 #: A link: 100 * |x & y| >= SIMILAR * |x | y|.
