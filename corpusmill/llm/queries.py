@@ -104,8 +104,56 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _located_sql(kind_no: int, pattern: str) -> str:
+    """Matches of a pattern with their starts, from the lengths of the gaps and matches before them."""
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {kind_no} AS k, unnest(m) AS m, unnest(list_transform(range(1, len(m) + 1), lambda i: coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0)))::BIGINT AS s
+      FROM (SELECT doc_id, regexp_extract_all(t, '{p}', 0) AS m, string_split_regex(t, '{p}') AS g FROM d WHERE regexp_matches(t, '{p}'))"""
+
+
+def _entropy_sql(k: int) -> str:
+    """Every window of a candidate counted afresh."""
+    _, pattern, _, fold, bits = secrets.CLASSES[k]
+    allowed = " OR ".join(f"regexp_matches(m, '{a}')" for a in secrets.ALLOWED)
+    terms = [secrets.terms(c) for c in range(secrets.WINDOW + 1)]
+    return f"""SELECT doc_id, k, s + list_min(h) AS s, s + list_max(h) + {secrets.WINDOW} AS e FROM (
+      SELECT doc_id, k, s, list_filter(range(0, length(x) - {secrets.WINDOW - 1}), lambda i: list_sum(list_transform(list_distinct(string_split(substr(x, i + 1, {secrets.WINDOW}), '')), lambda ch: ({terms}::BIGINT[])[len(list_filter(string_split(substr(x, i + 1, {secrets.WINDOW}), ''), lambda y: y = ch)) + 1])) <= {secrets.most(bits)}) AS h
+      FROM (SELECT *, {"lower(m)" if fold else "m"} AS x FROM ({_located_sql(3 + k, pattern)}) WHERE NOT ({allowed}))) WHERE len(h) > 0"""
+
+
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), sp AS (
+  SELECT doc_id, k, s, s + length(m) AS e FROM ({_located_sql(0, secrets.ASSIGN)}) WHERE length(regexp_extract(m, '{secrets.ASSIGN.replace("'", "''")}', 2)) >= 6
+  UNION ALL SELECT doc_id, k, s, s + length(m) FROM ({_located_sql(1, "AKIA[A-Z0-9]+")}) WHERE length(m) >= 20
+  UNION ALL SELECT doc_id, k, s, s + length(m) FROM ({_located_sql(2, "[0-9a-f]+")}) WHERE length(m) >= 24
+  UNION ALL {_entropy_sql(0)} UNION ALL {_entropy_sql(1)}
+), g AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n0, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2,
+    string_agg({list(secrets.KINDS)}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base, string_agg({list(secrets.KINDS)}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) AS a FROM sp GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(a, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+"""
+
+def _shingles_sql(table: str, key: str, text: str) -> str:
+    words = f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+(?:[.''\\-][0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+)*')"
+    return f"SELECT {key}, array_to_string(w[i + 1:i + 5], ' ') AS sh, i AS pos FROM (SELECT {key}, w, unnest(range(0, len(w) - 4)) AS i FROM (SELECT {key}, {words} AS w FROM {table}))"
+
+
+_TEMPLATES_SQL = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in licenses.TEMPLATES.items())
+#: All shingles that a document shares with a template, counted in every window of the template's level.
+OP9_SQL = f"""
+WITH tt(name, text) AS (VALUES {_TEMPLATES_SQL}), ts AS ({_shingles_sql("tt", "name", "text")}),
+tl AS (SELECT name, count(DISTINCT sh) AS m, (2 ^ ceil(log2(count(*))))::BIGINT AS level FROM ts GROUP BY name), tu AS (SELECT DISTINCT name, sh FROM ts),
+ds AS ({_shingles_sql("documents", "doc_id", "coalesce(text, '')")}),
+h AS (SELECT doc_id, name, m, level, sh, pos // level AS k FROM ds JOIN tu USING (sh) JOIN tl USING (name)),
+wn AS (SELECT doc_id, name, m, level, k, count(DISTINCT sh) AS n FROM (SELECT * FROM h UNION ALL SELECT doc_id, name, m, level, sh, k - 1 FROM h WHERE k > 0) GROUP BY ALL HAVING count(DISTINCT sh) >= {licenses.CONTAINED} * m),
+b AS (SELECT doc_id, name, max(n) AS n, arg_max(k * level, (n, -k)) AS first FROM wn GROUP BY doc_id, name),
+g AS (SELECT doc_id, count(*) AS c, string_agg(name, ',' ORDER BY name) AS l, string_agg(name || ':' || n || ':' || first, ',' ORDER BY name) AS x FROM b GROUP BY doc_id)
+SELECT doc_id, coalesce(c, 0) AS n_licenses, coalesce(l, '') AS licenses, coalesce(x, '') AS matches FROM documents LEFT JOIN g USING (doc_id)
+"""
+
 QUERIES = {
     f.__name__: f
     for f in (op1_minhash_neardup, op2_toxicity, op3_ogg_media, op4_mixing, op5_exact_dedup, op6_chat_rotation, op7_quality, op8_bpe, op9_licenses, op10_secrets)
 }
-SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL}
+SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL, "op9_licenses": OP9_SQL, "op10_secrets": OP10_SQL}
