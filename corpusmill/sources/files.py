@@ -34,7 +34,7 @@ def paged_text(spark: SparkSession, path: str) -> DataFrame:
     """path, page (from 1), text of whole text files, gzip or not, whose pages form feeds part; a blank last page is none."""
     t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     pages = F.split("value", "\f", -1)
-    pages = F.when(F.trim(F.element_at(pages, -1)) == "", F.slice(pages, F.lit(1), F.size(pages) - 1)).otherwise(pages)
+    pages = F.when(F.element_at(pages, -1).rlike(r"^\s*$"), F.slice(pages, F.lit(1), F.size(pages) - 1)).otherwise(pages)
     return t.select("path", F.posexplode(pages).alias("p", "text")).select("path", (F.col("p") + 1).alias("page"), "text")
 
 

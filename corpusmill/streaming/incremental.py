@@ -37,13 +37,18 @@ def retry_queue(queue: DataFrame, failed: DataFrame, succeeded: DataFrame, key:
     return j.select(key, (F.coalesce("tries", F.lit(0)) + F.coalesce("_f", F.lit(0))).alias("tries"))
 
 
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    """Event time with a watermark; streams need a timestamp with a zone."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def event_windows(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Counts and sums by window and type, on a stream or a table; on a stream, events later than ``late`` are dropped."""
-    w = events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    w = _timed(events, late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     return w.select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Sessions of a user by gaps, on a stream or a table."""
-    s = events.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    s = _timed(events, late).groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(F.count(F.lit(1)).alias("n"))
     return s.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
