@@ -15,14 +15,14 @@ def _both(e: DataFrame) -> DataFrame:
 def _large_star(e: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
     n = _both(e)
-    least = n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = cut(n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))  # the join can then split a hot node
     return n.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of them."""
     n = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    least = n.groupBy("a").agg(F.min("b").alias("m"))
+    least = cut(n.groupBy("a").agg(F.min("b").alias("m")))
     tied = n.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
