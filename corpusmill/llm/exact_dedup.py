@@ -140,15 +140,15 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ha
     """
     fps = cut(fingerprints(docs, doc_id, text, hasher))
     same = ["fp", "n_bytes"]
-    groups = fps.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
-    several = groups.where("n > 1").select(*same)
+    groups = cut(_groups(fps, same))  # written, so that the joins below meet plain shuffles, whose large partitions Spark can split
+    several = groups.where("group_size > 1").select(*same)
     ids = fps.join(several, same, "left_semi").select("doc_id").distinct()
     again = docs.select(doc_id, text).join(ids.withColumnRenamed("doc_id", "_id"), F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
     chunks = _compared(again, doc_id, text, hasher)
     contents = chunks.groupBy(*same, "no", "chunk").agg(F.count(F.lit(1)).alias("n"))
     collided = cut(contents.groupBy(*same, "no").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(*same).distinct())
     if collided.isEmpty():
-        fps, key = fps.withColumn("cls", F.lit("")), [*same, "cls"]
+        key = same
     else:
         bad = chunks.join(collided, same, "left_semi")
         classes = bad.groupBy(*same, "no", "chunk").agg(F.min("doc_id").alias("rep"))
@@ -156,11 +156,17 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ha
         told = told.withColumnRenamed("doc_id", "_id").withColumnRenamed("fp", "_fp").withColumnRenamed("n_bytes", "_n")
         on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")) & (F.col("n_bytes") == F.col("_n"))
         fps, key = fps.join(told, on, "left").drop("_id", "_fp", "_n").withColumn("cls", F.coalesce("cls", F.lit(""))), [*same, "cls"]
-    best = fps.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(F.struct((-F.col("n_points")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("keep_id"))).alias("best"))
-    out = fps.join(best, key)
+        groups = cut(_groups(fps, key))
+    out = fps.join(groups, key)
     return out.select("doc_id", F.col("best.keep_id").alias("keep_id"), "group_size", F.col("doc_id").eqNullSafe(F.col("best.keep_id")).alias("kept"), "text_sha256")
 
 
+def _groups(fps: DataFrame, key: list[str]) -> DataFrame:
+    """Of each key its size and the row that stays: most code points, then smallest doc_id, null last."""
+    first = F.struct((-F.col("n_points")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("keep_id"))
+    return fps.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(first).alias("best"))
+
+
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = exact_groups(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
