@@ -57,7 +57,7 @@ def perspectives(turns: DataFrame) -> DataFrame:
         return F.struct(stop.cast("long").alias("at"), F.when(t["speaker"] == p, F.concat(acc["spans"], F.array(span).cast(_SPANS))).otherwise(acc["spans"]).alias("spans"))
 
     spans = F.aggregate("turns", start, step, lambda a: a["spans"])
-    out = both.select("conv_id", "perspective", "part", F.size("turns").alias("n_turns"), text.alias("text"), spans.alias("spans"))
+    out = both.select("conv_id", "perspective", "part", F.size("turns").cast("long").alias("n_turns"), text.alias("text"), spans.alias("spans"))
     return out.select(
         "conv_id",
         "perspective",

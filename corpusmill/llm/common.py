@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..lineage import checkpoint_dir, cut  # noqa: F401
+from ..lineage import checkpoint_dir, cut, ship  # noqa: F401
 
 #: The characters that separate words and vanish in normalised texts: space, and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -26,6 +26,7 @@ def map_rows(df: DataFrame, columns: list, schema: StructType | str, rows: Calla
     ``rows`` sees one partition as a single stream, so state that it keeps (memos, tables) is made once a task.
     Output batches are cut at 4 MB or 4096 rows, so long texts never pile up.
     """
+    ship(df.sparkSession)
     picked = df.select(*columns)
     out_type = picked.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
 
@@ -58,6 +59,7 @@ def filter_rows(df: DataFrame, columns: list[str], verdicts: Callable[[Iterator[
 
     ``verdicts`` maps the stream of ``columns`` (strings and binaries as they are, null as None) to one boolean a row.
     """
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices: list[pa.RecordBatch] = []

@@ -76,7 +76,7 @@ WITH t AS (
 )
 SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || txt || '<|end|>' || chr(10), '' ORDER BY pos) AS text,
   string_agg((stop - length(txt) - 8)::BIGINT || ':' || (stop - 1)::BIGINT, ',' ORDER BY pos) FILTER (speaker = perspective) AS mask,
-  sum(length(txt) + 7) FILTER (speaker = perspective) AS n_masked
+  (sum(length(txt) + 7) FILTER (speaker = perspective))::BIGINT AS n_masked
 FROM o GROUP BY conv_id, perspective, part
 """
 
