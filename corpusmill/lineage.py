@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,3 +23,16 @@ def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared checkpoint folder and reads it from there: what follows survives lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python, once a context: Spark serves the archive from the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusmill_archive", None) is None:
+        root = Path(__file__).resolve().parent
+        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="corpusmill-")), "corpusmill.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, Path(root.name) / f.relative_to(root))
+        sc.addPyFile(archive)
+        sc._corpusmill_archive = archive

@@ -133,7 +133,7 @@ def islands(read):
     return W.islands(o, ["o_custkey"], "d")
 
 
-@query("SELECT conv_id, turn, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM conversations")
+@query("SELECT conv_id, turn, (sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn))::BIGINT AS block FROM conversations")
 def blocks(read):
     return W.blocks(read("conversations"), ["conv_id"], ["turn"], F.col("role") == "user").select("conv_id", "turn", "block")
 
@@ -194,7 +194,7 @@ def interval_gaps(read):
 @query("""
 WITH a AS (SELECT user_id, event_type, value > 50 AS high, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, event_id FROM events),
 b AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY k) AS run FROM (SELECT *, (lag(high) OVER (PARTITION BY user_id ORDER BY k) IS DISTINCT FROM high)::INT AS c FROM a))
-SELECT user_id, run, high, string_agg(event_type, ' ' ORDER BY k) AS text, count(*) AS n FROM b GROUP BY ALL
+SELECT user_id, run::BIGINT AS run, high, string_agg(event_type, ' ' ORDER BY k) AS text, count(*) AS n FROM b GROUP BY ALL
 """)
 def style_runs(read):
     e = read("events").withColumn("high", F.col("value") > 50)
@@ -204,7 +204,7 @@ def style_runs(read):
 @query(f"""
 WITH {_LINES}, s AS (SELECT doc_id, line_no, line, (lag(line) OVER w IS NULL OR trim(lag(line) OVER w) = '' OR (length(lag(line) OVER w) < 60 AND regexp_matches(lag(line) OVER w, '[.!?:]\\s*$')))::INT AS st FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
 p AS (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY line_no) AS paragraph FROM s)
-SELECT doc_id, paragraph, string_agg(trim(line), ' ' ORDER BY line_no) AS text, count(*) AS n_lines FROM p WHERE trim(line) <> '' GROUP BY doc_id, paragraph
+SELECT doc_id, paragraph::BIGINT AS paragraph, string_agg(trim(line), ' ' ORDER BY line_no) AS text, count(*) AS n_lines FROM p WHERE trim(line) <> '' GROUP BY doc_id, paragraph
 """)
 def paragraphs(read):
     from ..operators.quality import lines
@@ -224,7 +224,7 @@ def expected_next(read):
 
 
 @query("""
-SELECT user_id, count(*) AS n, max(line) AS n_lines FROM (SELECT user_id, sum(c) OVER (PARTITION BY user_id ORDER BY value) AS line FROM (SELECT user_id, value, coalesce(value - lag(value) OVER (PARTITION BY user_id ORDER BY value) > 2, true)::INT AS c FROM events)) GROUP BY user_id
+SELECT user_id, count(*) AS n, max(line)::BIGINT AS n_lines FROM (SELECT user_id, sum(c) OVER (PARTITION BY user_id ORDER BY value) AS line FROM (SELECT user_id, value, coalesce(value - lag(value) OVER (PARTITION BY user_id ORDER BY value) > 2, true)::INT AS c FROM events)) GROUP BY user_id
 """)
 def tolerance_lines(read):
     return W.lines_by_tolerance(read("events"), ["user_id"], "value", 2.0).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("line").alias("n_lines"))
