@@ -8,21 +8,26 @@ from pyspark.sql import functions as F
 from ..lineage import cut
 
 
+#: Edges a partition, at least, in what a round writes: small graphs don't scatter over many tiny files.
+ROWS = 20_000
+
+
 def _both(e: DataFrame) -> DataFrame:
     return e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, parts: int) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
     n = _both(e)
-    least = cut(n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))  # the join can then split a hot node
+    least = n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = cut(least.coalesce(parts))  # so that the join meets plain shuffles, and a hot node's rows can be split
     return n.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, parts: int) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of them."""
     n = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    least = cut(n.groupBy("a").agg(F.min("b").alias("m")))
+    least = cut(n.groupBy("a").agg(F.min("b").alias("m")).coalesce(parts))
     tied = n.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
@@ -35,9 +40,11 @@ def components(edges: DataFrame) -> DataFrame:
     allowed; nodes without edges do not appear; null ends are dropped.
     """
     e = cut(edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct())
-    seen = None
+    parts = e.count() // ROWS + 1
+    e, seen = e.coalesce(parts), None
     while True:
-        e = cut(_small_star(_large_star(e)))
+        large = cut(_large_star(e, parts).distinct().coalesce(parts))
+        e = cut(_small_star(large, parts).coalesce(parts))
         state = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if state == seen:
             break
