@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import components
+from ..operators.graph import ROWS, components
 from .common import cut, map_rows, whole_text
 
 SHINGLE = 5
@@ -198,24 +198,26 @@ def _family_links(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
     """Confirmed links inside large buckets. ``hot``: (key, rep) of their members."""
     links = []
     c = SIMILAR / (100 + SIMILAR)  # a link has |x & y| >= c * (|x| + |y|)
-    while not hot.isEmpty():
+    while (n_hot := hot.count()) > 0:
+        parts = n_hot // ROWS + 1  # of small tables that are written, so that joins with them meet plain shuffles
         sizes = hot.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("head"))
         met = hot.join(sizes.where("n > 1"), "key")
         clusters = components(met.select(F.col("rep").alias("a"), F.col("head").alias("b")))
         central = met.groupBy("rep").agg(F.sum("n").alias("weight"))
-        members = cut(clusters.withColumnRenamed("node", "rep").withColumnRenamed("component", "g").join(central, "rep"))
+        members = cut(clusters.withColumnRenamed("node", "rep").withColumnRenamed("component", "g").join(central, "rep").coalesce(parts))
         pivots = members.groupBy("g").agg(F.max(F.struct("weight", (-F.col("rep")).alias("r"))).alias("m")).select("g", (-F.col("m.r")).alias("p"))
+        pivots = cut(pivots.coalesce(parts))
         with_pivot = members.join(pivots, "g")
         star = cut(verify(with_pivot.where("rep <> p").select(F.col("rep").alias("a"), F.col("p").alias("b")), texts, added=True).join(with_pivot.select(F.col("rep").alias("a"), "g"), "a"))
         links.append(star.where("is_link").select("a", "b"))
-        apart = star.groupBy("g").agg(F.count_if(~F.col("is_link")).alias("u")).where("u > 0").select("g")
+        apart = cut(star.groupBy("g").agg(F.count_if(~F.col("is_link")).alias("u")).where("u > 0").select("g").coalesce(parts))
         holders = star.join(apart, "g", "left_semi").select("g", "a", "is_link", F.explode("added").alias("e"))
         counts = holders.groupBy("g", "e").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_link")).alias("u"))
         rare = holders.join(counts.where(f"n between 2 and {RARE} and u > 0"), ["g", "e"])
         first, second = rare.select("g", "e", "a", "is_link"), rare.select("g", "e", F.col("a").alias("b"), F.col("is_link").alias("l2"))
         shared = first.join(second, ["g", "e"]).where("a < b and not (is_link and l2)").select("a", "b")
         many = holders.join(counts.where(f"n > {RARE}").select("g", "e"), ["g", "e"], "left_semi").groupBy("a").agg(F.count(F.lit(1)).alias("c"))
-        bound = cut(star.join(apart, "g", "left_semi").select("g", "a", F.col("na").alias("n"), F.col("inter").alias("i"), "is_link").join(many, "a", "left").fillna(0, ["c"]))
+        bound = cut(star.join(apart, "g", "left_semi").select("g", "a", F.col("na").alias("n"), F.col("inter").alias("i"), "is_link").join(many, "a", "left").fillna(0, ["c"]).coalesce(parts))
         # x, not linked to the pivot, reaches partners of these sizes at most
         x = bound.where("not is_link and c <= i").select("g", "a", "n", "i", "c", F.explode(F.expr(f"sequence(cast(ceil({SIMILAR / 100} * n) as long), greatest(cast(floor((i + c) / {c} - n + 1e-9) as long), cast(ceil({SIMILAR / 100} * n) as long)))")).alias("size"))
         y = bound.select("g", F.col("a").alias("b"), F.col("n").alias("size"), F.col("i").alias("i2"), F.col("c").alias("c2"))
@@ -228,7 +230,7 @@ def _family_links(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
         z = rest.select("g", "a", "n", "i", "c")
         mixed = z.join(y.join(far.select(F.col("a").alias("b")), "b", "left_anti"), "g").where(f"least(i, i2) + least(c, c2) + 1e-6 >= {c} * (n + size)")
         links.append(verify(mixed.select("a", "b"), texts).where("is_link").select("a", "b"))
-        hot = cut(hot.join(far.select(F.col("a").alias("rep")), "rep", "left_semi"))
+        hot = cut(hot.join(far.select(F.col("a").alias("rep")), "rep", "left_semi").coalesce(parts))
     return links
 
 
