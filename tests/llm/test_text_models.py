@@ -95,7 +95,8 @@ def test_mixing_cases_and_both_ways(spark, monkeypatch):
     a = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark)).collect())
     b = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark), driver_cells=0, targets=_targets(spark)).collect())
     c = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark), targets=_targets(spark)).collect())
-    assert len(a) == len(rows()) and b == c
+    d = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark), driver_cells=0).collect())
+    assert len(a) == len(rows()) and b == c and d == a
     kept = sorted(str(r.doc_id) for r in mixing.keep_sampled(table(spark)).collect())
     assert kept == [i for i, _, s in a if s]
     assert mixing.mix(empty(spark)).count() == 0 and mixing.keep_sampled(empty(spark)).count() == 0
