@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import io
 import zipfile
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +26,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives this package to the executors' Python, once a context: Spark serves the archive from the driver."""
+    """Gives this package to the executors' Python, once a context, by an archive in the shared checkpoint folder."""
     sc = spark.sparkContext
-    if getattr(sc, "_corpusmill_archive", None) is None:
-        root = Path(__file__).resolve().parent
-        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="corpusmill-")), "corpusmill.zip")
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-            for f in sorted(root.rglob("*.py")):
-                z.write(f, Path(root.name) / f.relative_to(root))
-        sc.addPyFile(archive)
-        sc._corpusmill_archive = archive
+    if getattr(sc, "_corpusmill_archive", None) is not None:
+        return
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name) / f.relative_to(root))
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/corpusmill-{uuid4().hex}.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
+    sc._corpusmill_archive = path.toString()

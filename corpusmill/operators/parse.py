@@ -10,6 +10,8 @@ HEADING = r"(?imu)^[ \t]*QUEST[ÃA]O[ \t]*0*([0-9]{1,3})\b"
 ANSWER_EARLY = r"(?i)\b(?:resposta|gabarito)(?:\s+correta)?\s*:?\s*\(?([A-E])\)?(?![A-Za-zÀ-ÿ])"
 ANSWER_MARKED = r"\b([A-E])\)\s*[–-]?\s*CORRETA\b"
 ANSWER_NAMED = r"(?i)alternativa\s+correta\s*(?:é|e)?\s*(?:a\s+)?\(?([A-E])\)?(?![A-Za-zÀ-ÿ])"
+RANGE_SPOKEN = r"(?i)\b(respond\w*|answer|texto|textos|leia|considere|observe|analise|baseie|com base|refer\w*)\b"
+RANGE = r"(?iu)\b(?:quest(?:ões|oes|ão|ao|ions?|iones?))\s+(?:de\s+|from\s+|n[ºo°]\s*)?0*([0-9]{1,3})(?:\s*(?:a|e|and|to|y|-|–|,)\s*0*([0-9]{1,3}))?\b"
 PAIR = r"(?<![0-9A-Za-z,])([0-9]{1,3})\s*[-.:)–]?\s*([A-E]|ANULADA)(?![A-Za-zÀ-ÿ])"
 
 
@@ -113,9 +115,8 @@ def split_items(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def label_range(c: Column) -> Column:
     """struct(lo, hi) of the question numbers in a label sentence; null without them."""
-    p = r"(?iu)\b(?:quest(?:ões|oes|ão|ao|ions?|iones?))\s+(?:de\s+|from\s+|n[ºo°]\s*)?0*([0-9]{1,3})(?:\s*(?:a|e|and|to|y|-|–|,)\s*0*([0-9]{1,3}))?\b"
-    lo, hi = F.regexp_extract(c, p, 1), F.regexp_extract(c, p, 2)
-    speaks = c.rlike(r"(?i)\b(respond\w*|answer|texto|textos|leia|considere|observe|analise|baseie|com base|refer\w*)\b") & (F.length(c) <= 160)
+    lo, hi = F.regexp_extract(c, RANGE, 1), F.regexp_extract(c, RANGE, 2)
+    speaks = c.rlike(RANGE_SPOKEN) & (F.length(c) <= 160)
     return F.when(speaks & (lo != ""), F.struct(lo.cast("int").alias("lo"), F.when(hi != "", hi).otherwise(lo).cast("int").alias("hi")))
 
 

@@ -24,60 +24,62 @@ def first_match(rules: list[Rule], default: str | None = None) -> Column:
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
-#: File name patterns and the role that they give a document, in order.
+#: Patterns over folded file and folder names, and what each says of a document, in order.
 ROLE_PATTERNS = [
     ("auxiliar", r"folha de reda|cartao|modelo gab|modelo folha"),
     ("prova", r"\((com|sem)\s+gabarito\)"),
     ("padrao_resposta", r"resposta[s]?[ -_]esperada|resp cienc|resposta ciencia|^resp[ _]"),
     ("padrao_resposta", r"criterio|grade de correcao|expectativa|padrao de resposta|respostas esperadas"),
 ]
+SECTION_PATTERN = r"discursiv|2\s*[aª]?\s*fase|segunda fase"
+LATE_ROLE_PATTERNS = [
+    ("resolucao", r"resolu|coment|respost|correcao|^res_|_res_|cmtd"),
+    ("gabarito", r"gab|(^|[_\W])gb[_\W]"),
+]
+DAY_PATTERNS = [
+    ("1", r"primeiro dia|1\s*[ºo°]?\s*dia|dia\s*0?1\b|(^|[^a-z0-9])d1([^0-9]|$)|_1o?dia|1odia"),
+    ("2", r"segundo dia|2\s*[ºo°]?\s*dia|dia\s*0?2\b|(^|[^a-z0-9])d2([^0-9]|$)|_2o?dia|2odia"),
+    ("3", r"3\s*[ºo°]?\s*dia|dia\s*0?3\b"),
+]
+PHASE_PATTERNS = [
+    ("1ª fase", r"(1\s*[aªº°o]?\s*fase|primeira fase|fase\s*1|_1fase)"),
+    ("2ª fase", r"(2\s*[aªº°o]?\s*fase|segunda fase|fase\s*2|_2fase)"),
+    ("1º exame de qualificação", r"1\s*[ºo°]?\s*exame|1[ºo°]? eq|primeiro exame"),
+    ("2º exame de qualificação", r"2\s*[ºo°]?\s*exame|2[ºo°]? eq|segundo exame"),
+    ("exame discursivo", r"exame discursivo"),
+]
+COMMENTED_PATTERN, UNCOMMENTED_PATTERN = r"coment|resolu|respostas", r"sem\s+coment"
+
+
+def by_pattern(c: Column, table: list[tuple[str, str]]) -> list[Rule]:
+    return [Rule(label, c.rlike(p)) for label, p in table]
 
 
 def role(name: Column, section: Column) -> Column:
-    """What kind of document a file name speaks of."""
+    """What kind of document a file name speaks of; the section matters for answers of discursive exams only."""
     n = fold(name)
-    rules = [Rule(label, n.rlike(p)) for label, p in ROLE_PATTERNS]
-    rules += [
+    special = [
         Rule("padrao_resposta", n.contains("exame discursivo") & n.contains("respostas")),
         Rule("auxiliar", n.contains("errata")),
-        Rule("padrao_resposta", n.contains("respost") & fold(section).rlike(r"discursiv|2\s*[aª]?\s*fase|segunda fase")),
-        Rule("resolucao", n.rlike(r"resolu|coment|respost|correcao|^res_|_res_|cmtd")),
-        Rule("gabarito", n.rlike(r"gab|(^|[_\W])gb[_\W]")),
+        Rule("padrao_resposta", n.contains("respost") & fold(section).rlike(SECTION_PATTERN)),
     ]
-    return first_match(rules, "prova")
+    return first_match(by_pattern(n, ROLE_PATTERNS) + special + by_pattern(n, LATE_ROLE_PATTERNS), "prova")
 
 
 def day(c: Column) -> Column:
     """Day of an exam as a file or folder name gives it."""
-    t = F.regexp_replace(fold(c), r"[_\-]+", " ")
-    return first_match(
-        [
-            Rule("1", t.rlike(r"primeiro dia|1\s*[ºo°]?\s*dia|dia\s*0?1\b|(^|[^a-z0-9])d1([^0-9]|$)|_1o?dia|1odia")),
-            Rule("2", t.rlike(r"segundo dia|2\s*[ºo°]?\s*dia|dia\s*0?2\b|(^|[^a-z0-9])d2([^0-9]|$)|_2o?dia|2odia")),
-            Rule("3", t.rlike(r"3\s*[ºo°]?\s*dia|dia\s*0?3\b")),
-        ],
-        "",
-    )
+    return first_match(by_pattern(F.regexp_replace(fold(c), r"[_\-]+", " "), DAY_PATTERNS), "")
 
 
 def phase(c: Column) -> Column:
-    t = fold(c)
-    return first_match(
-        [
-            Rule("1ª fase", t.rlike(r"(1\s*[aªº°o]?\s*fase|primeira fase|fase\s*1|_1fase)")),
-            Rule("2ª fase", t.rlike(r"(2\s*[aªº°o]?\s*fase|segunda fase|fase\s*2|_2fase)")),
-            Rule("1º exame de qualificação", t.rlike(r"1\s*[ºo°]?\s*exame|1[ºo°]? eq|primeiro exame")),
-            Rule("2º exame de qualificação", t.rlike(r"2\s*[ºo°]?\s*exame|2[ºo°]? eq|segundo exame")),
-            Rule("exame discursivo", t.contains("exame discursivo")),
-        ],
-        "",
-    )
+    """Phase of an exam as a file or folder name gives it."""
+    return first_match(by_pattern(fold(c), PHASE_PATTERNS), "")
 
 
 def commented(name: Column, role_: Column) -> Column:
     """Whether an answer key comes from a commented source rather than an official one."""
     n = F.lower(F.coalesce(name, F.lit("")))
-    return ~n.rlike(r"sem\s+coment") & (n.rlike("coment|resolu|respostas") | (F.coalesce(role_, F.lit("")) == "resolucao"))
+    return ~n.rlike(UNCOMMENTED_PATTERN) & (n.rlike(COMMENTED_PATTERN) | (F.coalesce(role_, F.lit("")) == "resolucao"))
 
 
 def path_group(path: Column, staged: list[tuple[str, dict[str, str]]]) -> dict[str, Column]:
