@@ -210,14 +210,13 @@ def _family_links(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
         with_pivot = members.join(pivots, "g")
         star = cut(verify(with_pivot.where("rep <> p").select(F.col("rep").alias("a"), F.col("p").alias("b")), texts, added=True).join(with_pivot.select(F.col("rep").alias("a"), "g"), "a"))
         links.append(star.where("is_link").select("a", "b"))
-        apart = cut(star.groupBy("g").agg(F.count_if(~F.col("is_link")).alias("u")).where("u > 0").select("g").coalesce(parts))
-        holders = star.join(apart, "g", "left_semi").select("g", "a", "is_link", F.explode("added").alias("e"))
+        holders = star.select("g", "a", "is_link", F.explode("added").alias("e"))
         counts = holders.groupBy("g", "e").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_link")).alias("u"))
         rare = holders.join(counts.where(f"n between 2 and {RARE} and u > 0"), ["g", "e"])
         first, second = rare.select("g", "e", "a", "is_link"), rare.select("g", "e", F.col("a").alias("b"), F.col("is_link").alias("l2"))
         shared = first.join(second, ["g", "e"]).where("a < b and not (is_link and l2)").select("a", "b")
         many = holders.join(counts.where(f"n > {RARE}").select("g", "e"), ["g", "e"], "left_semi").groupBy("a").agg(F.count(F.lit(1)).alias("c"))
-        bound = cut(star.join(apart, "g", "left_semi").select("g", "a", F.col("na").alias("n"), F.col("inter").alias("i"), "is_link").join(many, "a", "left").fillna(0, ["c"]).coalesce(parts))
+        bound = cut(star.select("g", "a", F.col("na").alias("n"), F.col("inter").alias("i"), "is_link").join(many, "a", "left").fillna(0, ["c"]).coalesce(parts))
         # x, not linked to the pivot, reaches partners of these sizes at most
         x = bound.where("not is_link and c <= i").select("g", "a", "n", "i", "c", F.explode(F.expr(f"sequence(cast(ceil({SIMILAR / 100} * n) as long), greatest(cast(floor((i + c) / {c} - n + 1e-9) as long), cast(ceil({SIMILAR / 100} * n) as long)))")).alias("size"))
         y = bound.select("g", F.col("a").alias("b"), F.col("n").alias("size"), F.col("i").alias("i2"), F.col("c").alias("c2"))
