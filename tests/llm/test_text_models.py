@@ -102,6 +102,18 @@ def test_mixing_cases_and_both_ways(spark, monkeypatch):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.keep_sampled(empty(spark)).count() == 0
 
 
+def test_raking_as_a_table_converges_as_on_the_driver(spark):
+    cells = [("a", "x", "p", 50), ("a", "y", "p", 30), ("b", "x", "q", 10), ("b", "y", "q", 20), ("c", "x", "q", 30), ("c", "y", "p", 5)]
+    targets = [{"a": 0.4, "b": 0.3, "c": 0.3}, {"x": 0.5, "y": 0.5}, {"p": 0.5, "q": 0.5}]
+    most = 1 / mixing.KEEP
+    table = mixing.cut(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long").coalesce(1))
+    got = {tuple(r[:3]): r.weight for r in mixing._rake_table(table, targets, most, mixing.TABLE_ROUNDS).select(*mixing.BY, "weight").collect()}
+    wanted = {c[:3]: w for c, w in zip(cells, mixing.rake(cells, targets, most), strict=True)}
+    assert max(wanted.values()) == most and all(abs(got[k] - w) < 1e-8 for k, w in wanted.items())
+    one = {tuple(r[:3]): r.weight for r in mixing._rake_table(table, targets, most, 1, driver_values=0).select(*mixing.BY, "weight").collect()}
+    assert all(abs(one[c[:3]] - w) < 1e-12 for c, w in zip(cells, mixing.rake(cells, targets, most, 1), strict=True))
+
+
 def _targets(spark):
     d = mixing.described(table(spark)).collect()
     return [{getattr(r, by): 1 / len({getattr(x, by) for x in d if x.n_tokens}) for r in d if r.n_tokens} for by in mixing.BY]
