@@ -88,7 +88,8 @@ def dup_type(read):
 
 @query(_CLUSTERS + " SELECT doc_id, cluster_id FROM cl")
 def components(read):
-    return D.clusters(read("documents"), _similar(read))
+    d = read("documents")
+    return D.clusters(d, D.folded_pairs(d))
 
 
 _CANON = _CLUSTERS + """,
