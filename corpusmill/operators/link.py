@@ -38,6 +38,17 @@ def scored_matches(old: DataFrame, new: DataFrame, candidates: DataFrame) -> Dat
     return j.select("old_id", "new_id", "shared", jaccard(F.col("old_id_tri"), F.col("new_id_tri")).alias("similarity"))
 
 
+def contained_items(old: DataFrame, new: DataFrame, least: float = 0.6) -> DataFrame:
+    """(old_id, new_id, contained): all pairs in which a new text holds the share ``least`` or more of an old one's trigrams.
+
+    Shared trigrams are counted in full for every pair; a text of under three words has none. Both inputs: (id, words).
+    """
+    o = old.select(F.col("id").alias("old_id"), F.array_distinct(ngrams(F.col("words"), 3)).alias("t")).select("old_id", F.size("t").alias("size"), F.explode("t").alias("g"))
+    n = new.select(F.col("id").alias("new_id"), F.explode(F.array_distinct(ngrams(F.col("words"), 3))).alias("g"))
+    counts = n.join(o, "g").groupBy("old_id", "new_id", "size").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= least * F.col("size")).select("old_id", "new_id", (F.col("n") / F.col("size")).alias("contained"))
+
+
 def best_match(matches: DataFrame, key: str, order: list) -> DataFrame:
     """The first row of each key in an order; end the order with an id to make it total."""
     return matches.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_r = 1").drop("_r")

@@ -185,11 +185,8 @@ WITH {_GRAMS} SELECT old_id AS item_id, new_id AS doc_id, round(len(list_interse
 """)
 def contamination(read):
     """Benchmark items of whose trigrams a document holds 60 % or more."""
-    old, new = _old_new(read)
-    tri = lambda d, k: d.select(F.col("id").alias(k), F.array_distinct(T.ngrams(F.col("words"), 3)).alias(f"t_{k}"))
-    j = L.gram_candidates(old, new).join(tri(old, "old_id"), "old_id").join(tri(new, "new_id"), "new_id")
-    n, size = F.size(F.array_intersect("t_old_id", "t_new_id")), F.size("t_old_id")
-    return j.where(n >= 0.6 * size).select(F.col("old_id").alias("item_id"), F.col("new_id").alias("doc_id"), F.round(n / F.greatest(F.lit(1), size), 6).alias("contained"))
+    """Benchmark items of whose trigrams a document holds 60 % or more."""
+    return L.contained_items(*_old_new(read)).select(F.col("old_id").alias("item_id"), F.col("new_id").alias("doc_id"), F.round("contained", 6).alias("contained"))
 
 
 @query(f"""

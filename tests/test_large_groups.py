@@ -16,3 +16,12 @@ def test_many_equal_texts_are_one_cluster(spark, tmp_path):
     got = {r.doc_id: (r.canonical_id, r.cluster_size) for r in QUERIES["canonical"](spark, at).collect()}
     assert got == {i: (100, 1) if i == 100 else (7, 101) for i in range(102)}
     assert {r.doc_id: r.cluster_id for r in QUERIES["components"](spark, at).collect()} == {i: 100 if i == 100 else 0 for i in range(102)}
+
+
+def test_contamination_of_many_documents_and_short_items(spark, tmp_path):
+    long, short = "one two three four five six seven eight nine ten eleven twelve thirteen", "red green blue white black"
+    broken = "one two three four five six x seven eight nine ten eleven twelve thirteen"  # no run of eight words
+    docs = [(i, f"start {long} stop {i}") for i in range(12)] + [(12, f"start {short} stop"), (13, broken), (14, "one two three only")]
+    at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string"), benchmark=([(1, long), (2, short), (3, "two words")], "item_id long, text string"))
+    got = {(r.item_id, r.doc_id): r.contained for r in QUERIES["contamination"](spark, at).collect()}
+    assert got == {(1, i): 1.0 for i in range(12)} | {(2, 12): 1.0, (1, 13): round(9 / 11, 6)}
