@@ -220,7 +220,7 @@ s AS (SELECT o.id, letter, len(list_intersect(w, e)) / greatest(1, len(w)) AS s
 SELECT id, letter FROM r WHERE r = 1 AND s >= 0.5 AND s >= second + 0.25
 """)
 def explained_option(read):
-    words = F.array_distinct(T.tokens(F.substring("text", 1, 120)))
+    words = F.array_distinct(T.tokens(F.col("text")))
     c = read("conversations")
     o = c.select(F.col("conv_id").alias("id"), F.chr(65 + F.col("turn")).alias("letter"), words.alias("words"))
     return I.explained(o, c.where("turn = 1").select(F.col("conv_id").alias("id"), words.alias("words")))

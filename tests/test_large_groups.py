@@ -25,3 +25,11 @@ def test_contamination_of_many_documents_and_short_items(spark, tmp_path):
     at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string"), benchmark=([(1, long), (2, short), (3, "two words")], "item_id long, text string"))
     got = {(r.item_id, r.doc_id): r.contained for r in QUERIES["contamination"](spark, at).collect()}
     assert got == {(1, i): 1.0 for i in range(12)} | {(2, 12): 1.0, (1, 13): round(9 / 11, 6)}
+
+
+def test_explained_option_reads_whole_texts(spark, tmp_path):
+    filler, told = " ".join(["same"] * 40), "apple pear plum cherry"
+    turns = [(1, 0, "user", f"{filler} {told}"), (1, 1, "user", f"{filler} {told} grape"), (1, 2, "user", f"{filler} stone brick slate marble")]
+    turns += [(2, 1, "user", f"{filler} {told} {' '.join(f'w{k}' for k in range(6))}"), (2, 2, "user", f"{filler} stone brick slate marble")]
+    at = stored(spark, tmp_path, conversations=(turns, "conv_id long, turn long, role string, text string"))
+    assert {(r.id, r.letter) for r in QUERIES["explained_option"](spark, at).collect()} == {(2, "B")}
