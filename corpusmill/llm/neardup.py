@@ -265,7 +265,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
+    """``docs`` with ``_row_key``: the id, and for rows without one a number of their own above all ids."""
+    named = docs.where(F.col(doc_id).isNotNull()).withColumn("_row_key", F.col(doc_id).cast("long"))
+    rest = cut(docs.where(F.col(doc_id).isNull()).withColumn("_row_key", F.monotonically_increasing_id()))
+    part, most = F.shiftright("_row_key", 33), named.agg(F.max("_row_key")).first()[0]
+    next_, starts = (-1 if most is None else most) + 1, []
+    for k, n in sorted(map(tuple, rest.groupBy(part).count().collect())):
+        starts.append((k, next_ - (k << 33)))
+        next_ += n
+    shift = docs.sparkSession.createDataFrame(starts, "_part long, _shift long")
+    dense = rest.withColumn("_part", part).join(F.broadcast(shift), "_part").withColumn("_row_key", F.col("_row_key") + F.col("_shift"))
+    return named.unionByName(dense.drop("_part", "_shift"))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group of near copies, with all their columns."""
-    kept = near_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(doc_id) == F.col("_kept_id"), "left_semi")
+    """The rows of ``docs`` that stay, one of each group of near copies, with all their columns. Of a group in which no row has
+    an id, one row stays as well; rows without an id and without shingles stand alone and stay."""
+    if docs.where(F.col(doc_id).isNull()).isEmpty():
+        kept = near_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+        return docs.join(kept, F.col(doc_id) == F.col("_kept_id"), "left_semi")
+    keyed = _keyed(docs, doc_id)
+    kept = near_duplicates(keyed, "_row_key", text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return keyed.join(kept, F.col("_row_key") == F.col("_kept_id"), "left_semi").drop("_row_key")

@@ -130,3 +130,14 @@ def test_bands_find_links():
         x, y = (set(s.keys(s.hashes(" ".join(z).encode()))) for z in (w, v))
         missed += not x & y
     assert missed == 0 and n
+
+
+def test_groups_without_ids_keep_one(spark):
+    from . import helpers
+
+    other = " ".join(f"{w}more" for w in helpers.BASE)
+    docs = [(1, " ".join(helpers.BASE)), (None, helpers.near(0)), (None, other), (None, other), (None, other + " end"), (None, "a text alone"), (None, None), (None, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in neardup.keep_one(frame).collect()), key=str)
+    group = [r for r in got if r[1] and r[1].startswith(other)]
+    assert len(group) == 1 and sorted((r for r in got if r not in group), key=str) == sorted([docs[0], *docs[5:]], key=str)
