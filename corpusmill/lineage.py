@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where it is unset, one of our own in local mode (tests); on a cluster
+    a machine's own folder is of no use to the others, so there it must be set."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    named = named or "/tmp/corpusmill-checkpoints"
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or "/tmp/corpusmill-checkpoints")
-    return named or "/tmp/corpusmill-checkpoints"
+        sc.setCheckpointDir(named)
+    return named
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -25,6 +29,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*cuts: DataFrame) -> None:
+    """Deletes the files of tables that :func:`cut` wrote and that nothing reads any more."""
+    for df in cuts:
+        plan = df._jdf.queryExecution().logical()
+        if plan.getClass().getSimpleName() == "LogicalRDD" and plan.rdd().getCheckpointFile().isDefined():
+            remove(df.sparkSession, plan.rdd().getCheckpointFile().get())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Gives this package to the executors' Python, once a context, by an archive in the shared checkpoint folder."""
     sc = spark.sparkContext

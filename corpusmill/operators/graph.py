@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..lineage import cut
-
+from ..lineage import cut, release
 
 #: Edges a partition, at least, in what a round writes: small graphs don't scatter over many tiny files.
 ROWS = 20_000
@@ -21,7 +20,10 @@ def _large_star(e: DataFrame, parts: int) -> DataFrame:
     n = _both(e)
     least = n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     least = cut(least.coalesce(parts))  # so that the join meets plain shuffles, and a hot node's rows can be split
-    return n.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    tied = n.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    out = cut(tied.distinct().coalesce(parts))
+    release(least)
+    return out
 
 
 def _small_star(e: DataFrame, parts: int) -> DataFrame:
@@ -29,22 +31,25 @@ def _small_star(e: DataFrame, parts: int) -> DataFrame:
     n = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     least = cut(n.groupBy("a").agg(F.min("b").alias("m")).coalesce(parts))
     tied = n.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+    out = cut(tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct().coalesce(parts))
+    release(least)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the least node reachable) of every node of ``edges`` (a, b).
 
     Alternating large and small stars: every round is two grouped minima and joins on narrow rows, and the number of rounds
-    grows with the logarithm of the longest path. Each round is written to the checkpoint folder. Loops and repeated edges are
-    allowed; nodes without edges do not appear; null ends are dropped.
+    grows with the logarithm of the longest path. Each round is written to the checkpoint folder, and deleted once the next one
+    is. Loops and repeated edges are allowed; nodes without edges do not appear; null ends are dropped.
     """
     e = cut(edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct())
     parts = e.count() // ROWS + 1
-    e, seen = e.coalesce(parts), None
+    seen = None
     while True:
-        large = cut(_large_star(e, parts).distinct().coalesce(parts))
-        e = cut(_small_star(large, parts).coalesce(parts))
+        large = _large_star(e.coalesce(parts), parts)
+        done, e = e, _small_star(large, parts)
+        release(done, large)
         state = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if state == seen:
             break
