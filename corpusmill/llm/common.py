@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..lineage import checkpoint_dir, cut, ship  # noqa: F401
+from ..lineage import checkpoint_dir, cut, release, remove, ship  # noqa: F401
 
 #: The characters that separate words and vanish in normalised texts: space, and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -20,6 +20,23 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """128 bits that tell rows apart by id and text, of whatever type the id is; the same for rows that repeat both."""
+    i = F.col(doc_id).cast("string")
+    return F.unhex(F.md5(F.concat(F.when(i.isNull(), "-").otherwise(F.concat(F.length(i).cast("string"), F.lit(":"), i)), F.lit("|"), F.coalesce(F.concat(F.lit("+"), F.col(text)), F.lit(""))))).alias("row_key")
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names of new columns that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_rows(df: DataFrame, columns: list, schema: StructType | str, rows: Callable[[Iterator[tuple]], Iterable[tuple]]) -> DataFrame:
     """Streams ``columns`` through ``rows`` (an iterator of tuples to an iterable of tuples) in Arrow batches.
 

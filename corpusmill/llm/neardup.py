@@ -5,14 +5,22 @@ each place a rank, and coordinate k is the least rank of the set's places when t
 k. The ranks that one place takes in all coordinates are then one contiguous slice of the second permutation. Bands of the
 signature propose pairs; every link is confirmed by the exact Jaccard similarity of the full shingle sets.
 
-Large groups. Texts with equal sets are one class, represented by its least doc_id. A bucket of up to ``SMALL`` classes proposes
-all its pairs. Larger buckets propose only pairs with one pivot each cluster, and the rest of their links follows from this fact:
-let ``p`` be any set, ``i(x) = |x & p|`` and ``added(x) = x - p``. Two sets that share no added shingle have
-``|x & y| <= min(i(x), i(y))``. So once all members are compared with the pivot, a link between members that are not both linked
-to the pivot must share an added shingle, or fit that bound. Added shingles with few holders propose their pairs; shingles with
-many holders enter the bound, ``min(i(x), i(y)) + min(c(x), c(y))`` where ``c`` counts them; members that consist mostly of such
-shingles are another family and get a pivot of their own in the next level. No pair of a large group is listed but these, and no
-link is lost that the bands propose.
+Large groups. Texts with equal sets are one class. A bucket of up to ``SMALL`` classes proposes all its pairs; larger buckets
+are joined to clusters, and a cluster is resolved through its consensus ``P``, the shingles that more than half of its members
+hold. Let ``D(x)`` be the shingles in which ``x`` and ``P`` differ, and ``|x| + |y| = S``. Since ``x`` and ``y`` differ in
+``|D(x)| + |D(y)| - 2t`` shingles, ``t`` of the differences being the same, the link condition, stated in whole numbers, is
+``3 S >= 37 (|D(x)| + |D(y)| - 2t)`` (for 85 %), or with ``slack(x) = 3 |x| - 37 |D(x)|``
+
+    slack(x) + slack(y) + 74 t >= 0.
+
+* If the slacks alone suffice, the pair is linked, whatever ``t`` is. Then both are also linked to the member of the largest
+  slack. So one pair for each such member, with that top, connects them all.
+* All other links share differences, and each difference is one of at most half of the members. A link differs in at most
+  ``3/37 S`` shingles, so of ``D(x)``, the rarest first, one of the first ``3/37 S + 1`` is shared. Differences with few holders
+  propose their pairs; the holders of the others are clusters of at most half the size, resolved in the next level.
+
+So the levels are few, every level proposes one pair a member and those of short lists, no large group is listed as all its pairs,
+and no link is lost that the bands propose. Proposed links are confirmed on the full sets, too.
 """
 
 from __future__ import annotations
@@ -22,13 +30,13 @@ from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import ROWS, components
-from .common import cut, map_rows, whole_text
+from ..operators import graph
+from ..operators.graph import components
+from .common import cut, free_names, map_rows, release, row_key, whole_text
 
 SHINGLE = 5
 #: A link: 100 * |x & y| >= SIMILAR * |x | y|.
@@ -36,9 +44,9 @@ SIMILAR = 85
 #: At similarity 0.85 a pair shares no band with probability (1 - 0.85^8)^44 < 1e-6; at 0.2, one with 1e-4.
 BANDS, ROWS = 44, 8
 PLACES = 1 << 20
-#: Buckets up to this size propose all their pairs; added shingles of up to RARE holders, too.
+#: Buckets up to this size propose all their pairs; differences of up to RARE holders, too.
 SMALL = 8
-RARE = 16
+RARE = 8
 _SEED = 20260
 
 
@@ -112,65 +120,46 @@ class Sketcher:
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set_id (128 bits of the full set; null for empty sets), keys array<long>."""
+    """doc_id, row_key, n_shingles, set_id (128 bits of the full set; null for empty sets), keys array<long>."""
 
     def rows(it: Iterator[tuple]) -> Iterable[tuple]:
         s = Sketcher()
-        for i, d in it:
+        for i, k, d in it:
             h = s.hashes(d)
-            yield (i, len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest(), s.keys(h)) if len(h) else (i, 0, None, [])
+            yield (i, k, len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest(), s.keys(h)) if len(h) else (i, k, 0, None, [])
 
-    return map_rows(docs, [F.col(doc_id).cast("long").alias("doc_id"), whole_text(text)], "doc_id long, n_shingles long, set_id binary, keys array<long>", rows)
+    kind = dict(docs.dtypes)[doc_id]
+    return map_rows(docs, [F.col(doc_id).alias("doc_id"), row_key(doc_id, text), whole_text(text)], f"doc_id {kind}, row_key binary, n_shingles long, set_id binary, keys array<long>", rows)
 
 
-def _buckets(entries: DataFrame) -> DataFrame:
-    """(key, rep) to (key, a, b): the pairs of small buckets with key null; for large buckets (key, rep, null) of each member.
+def _written(df: DataFrame, n: int) -> DataFrame:
+    """Cuts a table of about ``n`` narrow rows into few files, so that joins with it meet plain shuffles that Spark can split."""
+    return cut(df.coalesce(n // graph.ROWS + 1))
 
-    Rows are dealt by key and sorted, so equal keys stream past one another; at most SMALL + 1 of a bucket are held.
+
+def _pairs(lists: Column) -> Column:
+    """All pairs (a < b) of a short sorted list."""
+    return F.flatten(F.transform(lists, lambda a, i: F.transform(F.slice(lists, i + 2, F.size(lists)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+
+
+def _buckets(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, rep) to the pairs (a, b) of buckets of up to SMALL members, and the members (key, rep, head) of larger ones.
+
+    Buckets are counted first, with partial sums, and the counts are written: the rows of a large bucket then meet its count
+    through a join whose hot key can be split, and only short lists are ever gathered.
     """
+    sizes = cut(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("head")).where("n > 1"))
+    met = cut(entries.join(sizes, "key"))
+    release(sizes)
+    short = met.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("rep")).alias("m"))
+    pairs = short.select(F.explode(_pairs(F.col("m"))).alias("p")).select("p.a", "p.b").distinct()
+    return pairs, met.where(F.col("n") > SMALL).select("key", "rep", "head")
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, large = None, [], False  # of the bucket that the last batch ended in
-        kinds = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-        def pairs(k, members):
-            return [(None, members[i], members[j]) for i in range(len(members)) for j in range(i + 1, len(members))]
-
-        for batch in batches:
-            k, r = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(k):
-                continue
-            out = []
-            edge = np.flatnonzero(k[1:] != k[:-1]) + 1
-            starts, stops = np.concatenate([[0], edge]), np.concatenate([edge, [len(k)]])
-            wanted = np.flatnonzero(stops - starts > 1).tolist()
-            for n in sorted({0, len(starts) - 1, *wanted}):
-                this, members = int(k[starts[n]]), r[starts[n] : stops[n]].tolist()
-                if this != key or n > 0:
-                    if not large:
-                        out += pairs(key, held)
-                    key, held, large = this, [], False
-                if large:
-                    out += [(key, m, None) for m in members]
-                else:
-                    held += members
-                    if len(held) > SMALL:
-                        out += [(key, m, None) for m in held]
-                        held, large = [], True
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=kinds)
-        if not large and len(held) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs(key, held), strict=True)], schema=kinds)
-
-    dealt = entries.repartition("key").sortWithinPartitions("key", "rep")
-    return dealt.mapInArrow(run, "key long, a long, b long")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, added: bool = False) -> DataFrame:
-    """(a, b) to (a, b, na, nb, inter, is_link[, added]): exact counts over full sets; ``added``: hashes of the shingles that
-    only ``a`` has. ``texts``: (doc_id, data)."""
-    left = pairs.select("a", "b").distinct().join(texts.select(F.col("doc_id").alias("a"), F.col("data").alias("da")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("data").alias("db")), "b")
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) to (a, b, na, nb, inter, is_link): exact counts over full sets. ``texts``: (rep, data)."""
+    left = pairs.select("a", "b").distinct().join(texts.select(F.col("rep").alias("a"), F.col("data").alias("da")), "a")
+    both = left.join(texts.select(F.col("rep").alias("b"), F.col("data").alias("db")), "b")
 
     def rows(it: Iterator[tuple]) -> Iterable[tuple]:
         recent: OrderedDict[int, set] = OrderedDict()
@@ -187,50 +176,109 @@ def verify(pairs: DataFrame, texts: DataFrame, added: bool = False) -> DataFrame
         for a, b, da, db in it:
             x, y = of(a, da), of(b, db)
             n = len(x & y)
-            more = [xxhash.xxh3_64_intdigest(b" ".join(s)) - (1 << 63) for s in x - y] if added else None
-            yield a, b, len(x), len(y), n, linked(n, len(x), len(y)), more
-
-    out = map_rows(both, ["a", "b", "da", "db"], "a long, b long, na long, nb long, inter long, is_link boolean, added array<long>", rows)
-    return out if added else out.drop("added")
-
-
-def _family_links(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
-    """Confirmed links inside large buckets. ``hot``: (key, rep) of their members."""
-    links = []
-    c = SIMILAR / (100 + SIMILAR)  # a link has |x & y| >= c * (|x| + |y|)
-    while (n_hot := hot.count()) > 0:
-        parts = n_hot // ROWS + 1  # of small tables that are written, so that joins with them meet plain shuffles
-        sizes = hot.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("head"))
-        met = hot.join(sizes.where("n > 1"), "key")
-        clusters = components(met.select(F.col("rep").alias("a"), F.col("head").alias("b")))
-        central = met.groupBy("rep").agg(F.sum("n").alias("weight"))
-        members = cut(clusters.withColumnRenamed("node", "rep").withColumnRenamed("component", "g").join(central, "rep").coalesce(parts))
-        pivots = members.groupBy("g").agg(F.max(F.struct("weight", (-F.col("rep")).alias("r"))).alias("m")).select("g", (-F.col("m.r")).alias("p"))
-        pivots = cut(pivots.coalesce(parts))
-        with_pivot = members.join(pivots, "g")
-        star = cut(verify(with_pivot.where("rep <> p").select(F.col("rep").alias("a"), F.col("p").alias("b")), texts, added=True).join(with_pivot.select(F.col("rep").alias("a"), "g"), "a"))
-        links.append(star.where("is_link").select("a", "b"))
-        holders = star.select("g", "a", "is_link", F.explode("added").alias("e"))
-        counts = holders.groupBy("g", "e").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_link")).alias("u"))
-        rare = holders.join(counts.where(f"n between 2 and {RARE} and u > 0"), ["g", "e"])
-        first, second = rare.select("g", "e", "a", "is_link"), rare.select("g", "e", F.col("a").alias("b"), F.col("is_link").alias("l2"))
-        shared = first.join(second, ["g", "e"]).where("a < b and not (is_link and l2)").select("a", "b")
-        many = holders.join(counts.where(f"n > {RARE}").select("g", "e"), ["g", "e"], "left_semi").groupBy("a").agg(F.count(F.lit(1)).alias("c"))
-        bound = cut(star.select("g", "a", F.col("na").alias("n"), F.col("inter").alias("i"), "is_link").join(many, "a", "left").fillna(0, ["c"]).coalesce(parts))
-        # x, not linked to the pivot, reaches partners of these sizes at most
-        x = bound.where("not is_link and c <= i").select("g", "a", "n", "i", "c", F.explode(F.expr(f"sequence(cast(ceil({SIMILAR / 100} * n) as long), greatest(cast(floor((i + c) / {c} - n + 1e-9) as long), cast(ceil({SIMILAR / 100} * n) as long)))")).alias("size"))
-        y = bound.select("g", F.col("a").alias("b"), F.col("n").alias("size"), F.col("i").alias("i2"), F.col("c").alias("c2"))
-        fits = x.join(y, ["g", "size"]).where(f"a <> b and least(i, i2) + least(c, c2) + 1e-6 >= {c} * (n + size)")
-        others = shared.union(fits.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        links.append(verify(others, texts).where("is_link").select("a", "b"))
-        # mostly made of shingles that others have and the pivot lacks: other families; of their pairs with the rest few fit
-        far = bound.where("not is_link and c > i")
-        rest = far.join(bound.where("is_link or c <= i").groupBy("g").agg(F.max("c").alias("cm")), "g").where(f"i + least(c, cm) + 1e-6 >= {c} * n * {1 + SIMILAR / 100}")
-        z = rest.select("g", "a", "n", "i", "c")
-        mixed = z.join(y.join(far.select(F.col("a").alias("b")), "b", "left_anti"), "g").where(f"least(i, i2) + least(c, c2) + 1e-6 >= {c} * (n + size)")
-        links.append(verify(mixed.select("a", "b"), texts).where("is_link").select("a", "b"))
-        hot = cut(hot.join(far.select(F.col("a").alias("rep")), "rep", "left_semi").coalesce(parts))
-    return links
+            yield a, b, len(x), len(y), n, linked(n, len(x), len(y))
+
+    return map_rows(both, ["a", "b", "da", "db"], "a long, b long, na long, nb long, inter long, is_link boolean", rows)
+
+
+def _tokens(texts: DataFrame) -> DataFrame:
+    """(rep, tokens): the sorted hashes of the full sets, halved to 62 bits so that a sign can say ``missing``."""
+
+    def rows(it: Iterator[tuple]) -> Iterable[tuple]:
+        s = Sketcher()
+        for r, d in it:
+            yield r, np.unique(s.hashes(d) >> np.uint64(2)).astype(np.int64).tolist()
+
+    return map_rows(texts, ["rep", "data"], "rep long, tokens array<long>", rows)
+
+
+def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
+    """One level of clusters, (g, rep, tag, tokens), to the pairs (a, b) it proposes and the members (g, rep, tag) of the next.
+
+    Members with one ``tag`` are connected already; lists of such members alone are left out.
+    """
+    less, more = 100 - SIMILAR, 100 + SIMILAR
+    held = members.select("g", F.explode("tokens").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"))
+    sizes = _written(members.groupBy("g").agg(F.count(F.lit(1)).alias("size")), n_members)
+    counts = cut(held.where("f > 1").join(sizes, "g"))
+    # as long as two members at most, for more than half of the members hold each of its shingles
+    consensus = cut(sizes.join(counts.where("2 * f > size").groupBy("g").agg(F.collect_list("e").alias("p")), "g", "left").select("g", F.coalesce("p", F.array().cast("array<long>")).alias("p")))
+    d = members.join(consensus, "g").select("g", "rep", "tag", F.size("tokens").cast("long").alias("n"), F.concat(F.array_except("tokens", "p"), F.transform(F.array_except("p", "tokens"), lambda e: -1 - e)).alias("d"))
+    d = cut(d.withColumn("slack", less * F.col("n") - more * F.size("d")))
+    top = _written(d.groupBy("g").agg(F.max(F.struct("slack", (-F.col("rep")).alias("r"), "tag")).alias("m")).select("g", F.col("m.slack").alias("most"), (-F.col("m.r")).alias("top"), F.col("m.tag").alias("top_tag")), n_members)
+    near = d.join(top, "g")
+    star = F.col("slack") + F.col("most") >= 0
+    tag = F.coalesce("tag", F.when(star, F.coalesce("top_tag", "top")))
+    reach = F.floor(less * F.col("n") / SIMILAR + 1e-9).cast("long") + 1  # links differ in less / more * (n + 100 n / SIMILAR) at most
+    least = F.greatest(F.lit(1), F.ceil(-(F.col("slack") + F.col("most")) / (2 * more)).cast("long"))
+    near = cut(near.select("g", "rep", "n", "d", tag.alias("tag"), (star & (F.col("rep") != F.col("top"))).alias("star"), "top", F.least(reach, F.size("d") - least + 1).alias("prefix")))
+    pairs = [near.where("star").select(F.least("rep", "top").alias("a"), F.greatest("rep", "top").alias("b"))]
+    f = counts.select("g", F.when(F.expr("2 * f > size"), -1 - F.col("e")).otherwise(F.col("e")).alias("e"), F.when(F.expr("2 * f > size"), F.col("size") - F.col("f")).otherwise(F.col("f")).alias("f"))
+    said = near.where("prefix > 0").select("g", "rep", "n", "tag", "prefix", F.size("d").alias("nd"), F.explode("d").alias("e")).join(f.where("f > 1"), ["g", "e"])
+    ranked = said.groupBy("g", "rep", "n", "tag", "prefix", "nd").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s"))
+    # differences of one holder come before these
+    kept = F.slice("s", F.lit(1), F.greatest(F.lit(0), (F.col("prefix") - F.col("nd") + F.size("s")).cast("int")))
+    entries = cut(ranked.select("g", "rep", "n", "tag", F.explode(kept).alias("x")).select("g", F.col("x.e").alias("e"), "rep", "n", "tag"))
+    lists = entries.groupBy("g", "e").agg(
+        F.count(F.lit(1)).alias("h"),
+        F.min("tag").alias("t0"),
+        F.max("tag").alias("t1"),
+        F.count("tag").alias("ht"),
+        F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("sum"),
+        F.min("rep").alias("r0"),
+    )
+    lists = cut(lists.where("h > 1 and not (h = ht and t0 = t1)").withColumn("id", F.xxhash64("g", "h", "sum", "r0")))
+    short = entries.join(lists.where(F.col("h") <= RARE).dropDuplicates(["id"]).select("g", "e"), ["g", "e"])
+    gathered = short.groupBy("g", "e").agg(F.sort_array(F.collect_list(F.struct("rep", "n", "tag"))).alias("m"))
+    p = gathered.select(F.explode(_pairs(F.col("m"))).alias("p"))
+    fits = 100 * F.least("p.a.n", "p.b.n") >= SIMILAR * F.greatest("p.a.n", "p.b.n")
+    pairs.append(p.where(fits & ~F.coalesce(F.col("p.a.tag") == F.col("p.b.tag"), F.lit(False))).select("p.a.rep", "p.b.rep").toDF("a", "b"))
+    long = lists.where(F.col("h") > RARE).dropDuplicates(["id"]).select("g", "e", "id")
+    after = cut(entries.join(long, ["g", "e"]).select(F.col("id").alias("g"), "rep", "tag"))
+    found = cut(pairs[0].union(pairs[1]).distinct())
+    release(sizes, counts, consensus, d, top, near, entries, lists)
+    return found, after
+
+
+def _cluster_pairs(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
+    """The pairs that connect the members of large buckets, (key, rep, head), as their links do."""
+    if hot.isEmpty():
+        return []
+    clusters = components(hot.select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    tokens = cut(_tokens(texts.join(hot.select("rep").distinct(), "rep", "left_semi")))
+    members, found = cut(clusters.select(F.col("component").alias("g"), F.col("node").alias("rep"), F.lit(None).cast("long").alias("tag"))), []
+    while (n := members.count()) > 0:
+        level = cut(members.join(tokens, "rep"))
+        pairs, after = _level(level, n)
+        release(members, level)
+        members = after
+        found.append(pairs)
+    release(members, tokens)
+    return found
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (:func:`sketches` without keys), and the classes of equal sets: set_id, and the first row of the class and of its
+    component (structs of no_id, doc_id, row_key)."""
+    sk = cut(sketches(docs, doc_id, text))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    grouped = sk.where("set_id is not null").groupBy("set_id").agg(F.min(first).alias("first"), F.first("keys").alias("keys"))
+    classes = cut(grouped.withColumn("rep", F.monotonically_increasing_id()))  # numbers that are fixed as they are written
+    pairs, hot = _buckets(classes.select(F.explode("keys").alias("key"), "rep"))
+    pairs, hot = cut(pairs), cut(hot)
+    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(hot.select("rep")).distinct()
+    needed = cut(classes.join(needed, "rep").select("rep", F.col("first.row_key").alias("k")))
+    texts = docs.select(row_key(doc_id, text).alias("k"), whole_text(text).alias("data")).join(needed, "k").dropDuplicates(["k"]).select("rep", "data")
+    texts = cut(texts)
+    links = verify(pairs, texts)
+    for more in _cluster_pairs(hot, texts):
+        links = links.union(verify(more, texts))
+    found = cut(components(links.where("is_link").select("a", "b")))
+    release(pairs, hot, needed, texts)
+    linked_ = classes.select("rep", "first").join(found, F.col("rep") == F.col("node")).groupBy("component").agg(F.min("first").alias("best"))
+    best = found.join(linked_, "component").select("node", "component", "best")
+    out = classes.select("set_id", "first", "rep").join(best, F.col("rep") == F.col("node"), "left")
+    return sk.drop("keys"), out.select("set_id", "first", F.coalesce("best", "first").alias("best"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,53 +286,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Links are pairs with 100 * intersection >= 85 * union of their distinct 5-word shingles (A-Z lower-cased; words are runs
     without ``[\\x20\\x09-\\x0D]``; fewer than five words are one shingle). component_id is the least doc_id that links reach,
-    and a row is kept if it is its own.
+    and a row is kept if it is its own. Ids of any type that sorts; rows are told apart by id and text, so an id that repeats
+    with other texts loses no link.
 
     Defined results: null and empty texts, and texts without words, have no shingles and stand alone; rows that repeat a
-    doc_id are all returned; rows with a null doc_id get the component of their text where another row has it, else null, and
-    are not kept; extra columns are ignored; an empty table gives an empty table.
+    doc_id are all returned; rows with a null doc_id get the component of their text where another row of it has an id, else
+    null, and are not kept; extra columns are ignored; an empty table gives an empty table.
     """
-    sk = cut(sketches(docs, doc_id, text))
-    classes = cut(sk.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
-    met = cut(_buckets(classes.select(F.explode("keys").alias("key"), "rep")))
-    pairs = met.where("key is null").select("a", "b").distinct()
-    hot = met.where("key is not null").select("key", F.col("a").alias("rep"))
-    needed = met.select(F.col("a").alias("_id")).union(met.where("b is not null").select(F.col("b").alias("_id"))).distinct()
-    texts = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("data")).join(needed, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
-    links = verify(pairs, texts).where("is_link").select("a", "b")
-    for more in _family_links(hot, texts):
-        links = links.union(more)
-    found = components(links)
-    reps = classes.select("set_id", "rep").join(found, F.col("rep") == F.col("node"), "left").select("set_id", "rep", F.coalesce("component", "rep").alias("component"))
-    out = sk.select("doc_id", "n_shingles", "set_id").join(reps, "set_id", "left")
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("rep", F.when(F.col("set_id").isNull(), F.col("doc_id"))).alias("class_id"),
-        F.coalesce("component", F.when(F.col("set_id").isNull(), F.col("doc_id"))).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-
-
-def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
-    """``docs`` with ``_row_key``: the id, and for rows without one a number of their own above all ids."""
-    named = docs.where(F.col(doc_id).isNotNull()).withColumn("_row_key", F.col(doc_id).cast("long"))
-    rest = cut(docs.where(F.col(doc_id).isNull()).withColumn("_row_key", F.monotonically_increasing_id()))
-    part, most = F.shiftright("_row_key", 33), named.agg(F.max("_row_key")).first()[0]
-    next_, starts = (-1 if most is None else most) + 1, []
-    for k, n in sorted(map(tuple, rest.groupBy(part).count().collect())):
-        starts.append((k, next_ - (k << 33)))
-        next_ += n
-    shift = docs.sparkSession.createDataFrame(starts, "_part long, _shift long")
-    dense = rest.withColumn("_part", part).join(F.broadcast(shift), "_part").withColumn("_row_key", F.col("_row_key") + F.col("_shift"))
-    return named.unionByName(dense.drop("_part", "_shift"))
+    sk, classes = _classes(docs, doc_id, text)
+    out = sk.join(classes, "set_id", "left")
+    alone = F.when(F.col("set_id").isNull(), F.col("doc_id"))
+    out = out.select("doc_id", "n_shingles", F.coalesce("first.doc_id", alone).alias("class_id"), F.coalesce("best.doc_id", alone).alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group of near copies, with all their columns. Of a group in which no row has
-    an id, one row stays as well; rows without an id and without shingles stand alone and stay."""
-    if docs.where(F.col(doc_id).isNull()).isEmpty():
-        kept = near_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-        return docs.join(kept, F.col(doc_id) == F.col("_kept_id"), "left_semi")
-    keyed = _keyed(docs, doc_id)
-    kept = near_duplicates(keyed, "_row_key", text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return keyed.join(kept, F.col("_row_key") == F.col("_kept_id"), "left_semi").drop("_row_key")
+    """The rows of ``docs`` that stay, one of each group of near copies, with all their columns.
+
+    Of a group the row of the least doc_id stays (null last, then by a hash of the text), and one row where it is repeated. Rows
+    without shingles (null, empty and blank texts) stand alone and all stay; rows without an id are rows as any other; columns of
+    any name pass unchanged; an empty table gives an empty table.
+    """
+    sk, classes = _classes(docs, doc_id, text)
+    key, keep = free_names(docs, "row_key", "keep_key")
+    firsts = classes.select(F.col("best.row_key").alias(keep)).distinct()
+    alone = sk.where("set_id is null").select(F.col("row_key").alias(keep)).distinct()
+    again = sk.where("set_id is not null").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("row_key").alias(keep))
+    again = cut(again.join(firsts, keep, "left_semi"))
+    keyed = docs.withColumn(key, row_key(doc_id, text))
+    kept = keyed.join(cut(firsts.union(alone)), F.col(key) == F.col(keep), "left_semi")
+    if not again.isEmpty():  # rows that repeat both id and text
+        once = kept.join(again, F.col(key) == F.col(keep), "left_semi").dropDuplicates([key])
+        kept = kept.join(again, F.col(key) == F.col(keep), "left_anti").unionByName(once)
+    return kept.drop(key)

@@ -141,3 +141,49 @@ def test_groups_without_ids_keep_one(spark):
     got = sorted(((r.doc_id, r.text) for r in neardup.keep_one(frame).collect()), key=str)
     group = [r for r in got if r[1] and r[1].startswith(other)]
     assert len(group) == 1 and sorted((r for r in got if r not in group), key=str) == sorted([docs[0], *docs[5:]], key=str)
+
+
+def boilerplate_family(n: int, seed: int = 9) -> dict[int, bytes]:
+    """Members share boilerplate, and each has three passages of a common pool: few are links, all meet in large buckets."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, pool = [word() for _ in range(160)], [[word() for _ in range(12)] for _ in range(12)]
+    out = {}
+    for i in range(n):
+        w = list(base)
+        for p in rng.sample(pool, 3):
+            at = rng.choice((0, 40, 80, 120))
+            w[at:at] = p
+        out[i] = " ".join([*w, *(word() for _ in range(rng.randrange(4)))]).encode()
+    return out
+
+
+def test_pairs_of_a_family_do_not_grow_with_its_square(spark, monkeypatch):
+    proposed = []
+    verify = neardup.verify
+
+    def counted(pairs, texts):
+        proposed[-1] += pairs.count()
+        return verify(pairs, texts)
+
+    monkeypatch.setattr(neardup, "verify", counted)
+    for n in (150, 300):
+        texts = boilerplate_family(n)
+        proposed.append(0)
+        df = spark.createDataFrame([(i, t.decode()) for i, t in texts.items()], "doc_id long, text string").repartition(4)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+        assert got == brute(texts)
+    assert proposed[1] < 3 * proposed[0], proposed
+
+
+def test_ids_that_repeat_or_are_strings(spark):
+    """A text of an id that repeats is not lost; a group keeps one row, rows without an id and of clashing columns too."""
+    base, other = "a b c d e f g h i j k l m n o p", "q r s t u v w x y z aa bb cc dd ee ff"
+    docs = [("7", base), ("7", other), ("8", base + " "), ("9", other), ("9", other), (None, "alone with no id at all here"), (None, ""), (None, ""), ("1", None)]
+    df = spark.createDataFrame([(*r, "x") for r in docs], "doc_id string, text string, row_key string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([("7", "7", True), ("7", "7", True), ("8", "7", False), ("9", "7", False), ("9", "7", False), (None, None, False), (None, None, False), (None, None, False), ("1", "1", True)], key=str)
+    kept = sorted(((r.doc_id, r.text, r.row_key) for r in neardup.keep_one(df).collect()), key=str)
+    assert kept == sorted([("7", base, "x"), ("7", other, "x"), (None, "alone with no id at all here", "x"), (None, "", "x"), (None, "", "x"), ("1", None, "x")], key=str)
+    again = spark.createDataFrame([(1, base), (1, base), (2, base), (None, other), (None, other)], "doc_id long, text string").repartition(3)
+    assert sorted(((r.doc_id, r.text) for r in neardup.keep_one(again).collect()), key=str) == [(1, base), (None, other)]
