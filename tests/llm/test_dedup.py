@@ -187,3 +187,25 @@ def test_ids_that_repeat_or_are_strings(spark):
     assert kept == sorted([("7", base, "x"), ("7", other, "x"), (None, "alone with no id at all here", "x"), (None, "", "x"), (None, "", "x"), ("1", None, "x")], key=str)
     again = spark.createDataFrame([(1, base), (1, base), (2, base), (None, other), (None, other)], "doc_id long, text string").repartition(3)
     assert sorted(((r.doc_id, r.text) for r in neardup.keep_one(again).collect()), key=str) == [(1, base), (None, other)]
+
+
+@pytest.mark.parametrize("hasher", [exact_dedup.fingerprint, lambda d: 0])
+def test_keep_first_tells_rows_apart(spark, hasher):
+    """Ids that repeat, are null or strings, and columns named as the operator's own; with and without collisions."""
+    docs = [("1", "a b c"), ("1", "a b c"), ("2", "a b c"), ("2", "xyz"), ("2", "x yz"), (None, "q w e"), (None, "q w e"), (None, "qwe"), ("5", None), ("6", " "), ("7", "abd")]
+    df = spark.createDataFrame([(*r, k, "k") for k, r in enumerate(docs)], "doc_id string, text string, row_key long, keep_key string").repartition(3)
+    out = exact_dedup.keep_first(df, hasher=hasher)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([("1", "a b c"), ("2", "x yz"), (None, "q w e"), ("6", " "), ("7", "abd")], key=str)
+    assert out.columns == df.columns
+    kept = [(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(df, hasher=hasher).collect()]
+    assert len(kept) == len(docs) and sum(k for *_, k in kept) == 7 and ("2", "1", 3, False) in kept
+
+
+def test_long_texts_are_hashed_in_parts(spark):
+    """Parts cut anywhere, also inside a character, combine to the fingerprint of the whole."""
+    docs = [(1, "é b c\td" * 50), (2, "é b c d" * 50), (3, "x" * 10), (4, "x" * 11), (5, None), (1, "é b c\td" * 50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    want = sorted((r.doc_id, r.fp, r.n_bytes, r.n_points, r.text_sha256) for r in exact_dedup.fingerprints(df).collect())
+    for long in (7, 10, 399):
+        assert sorted((r.doc_id, r.fp, r.n_bytes, r.n_points, r.text_sha256) for r in exact_dedup.fingerprints(df, long=long).collect()) == want
