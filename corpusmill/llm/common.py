@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..lineage import checkpoint_dir, cut, release, remove, ship  # noqa: F401
 
@@ -97,6 +97,30 @@ def filter_rows(df: DataFrame, columns: list[str], verdicts: Callable[[Iterator[
     return df.mapInArrow(run, df.schema)
 
 
+def add_column(df: DataFrame, columns: list[str], name: str, values: Callable[[Iterator[tuple]], Iterator[str]]) -> DataFrame:
+    """``df`` with one more string column, from the stream of ``columns``; all others unchanged, with no join and no shuffle."""
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: list[pa.RecordBatch] = []
+
+        def tuples():
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    slices.append(batch.slice(start, 256))
+                    yield from zip(*(slices[-1].column(c).to_pylist() for c in columns), strict=True)
+
+        made: list[str] = []
+        for v in values(tuples()):
+            made.append(v)
+            if len(made) == slices[0].num_rows:
+                b = slices.pop(0)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], names=[*b.schema.names, name])
+                made = []
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, StringType())]))
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 

@@ -82,38 +82,105 @@ def test_raking_meets_targets():
             assert abs(sum(x * c[3] for x, c in zip(w, cells, strict=True) if c[k] == v) / whole - share) < 1e-6
 
 
-def test_bounded_weights():
-    cells = [("a", "x", "p", 900.0), ("a", "y", "p", 50.0), ("b", "x", "q", 50.0)]
-    w = mixing.rake(cells, [{"a": 0.5, "b": 0.5}, {"x": 0.7, "y": 0.3}, {"p": 0.5, "q": 0.5}], 1.5)
-    assert max(w) == 1.5 and w[2] == 1.5 and w[1] == 1.5
-
-
-def test_mixing_cases_and_both_ways(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "ROUNDS", 2)
-    monkeypatch.setattr(mixing, "TABLE_ROUNDS", 2)
-    monkeypatch.setattr(mixing.rake, "__defaults__", (float("inf"), 2))
-    a = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark)).collect())
-    b = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark), driver_cells=0, targets=_targets(spark)).collect())
-    c = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark), targets=_targets(spark)).collect())
-    d = sorted((str(r.doc_id), round(r.weight, 3), r.sampled) for r in mixing.mix(table(spark), driver_cells=0).collect())
-    assert len(a) == len(rows()) and b == c and d == a
-    kept = sorted(str(r.doc_id) for r in mixing.keep_sampled(table(spark)).collect())
-    assert kept == [i for i, _, s in a if s]
-    assert mixing.mix(empty(spark)).count() == 0 and mixing.keep_sampled(empty(spark)).count() == 0
-
-
-def test_raking_as_a_table_converges_as_on_the_driver(spark):
+def brute_mix(docs, model, targets, keep):
+    """The definition in plain loops: tokens by cell, rounds of proportional fitting until nothing moves, draws by hash."""
+    d = mixing.described(docs, model).collect()
+    tokens = {}
+    for r in d:
+        c = (r.source, r.lang, r.topic)
+        tokens[c] = tokens.get(c, 0) + r.n_tokens
+    w, whole = dict.fromkeys(tokens, 1.0), sum(tokens.values())
+    for _ in range(5000):
+        for k, target in enumerate(targets):
+            there = {c[k] for c in tokens if sum(t for x, t in tokens.items() if x[k] == c[k]) > 0}
+            scale = sum(target.get(v, 0) for v in there)
+            now = {}
+            for c, t in tokens.items():
+                now[c[k]] = now.get(c[k], 0) + t * w[c] / whole
+            for c in w:
+                if now[c[k]] > 0:
+                    w[c] *= (target.get(c[k], 0) / scale if c[k] in there else 0.0) / now[c[k]]
+    rate = min(keep, 1 / max(w[c] for c, t in tokens.items() if t))
+    return sorted((str(r.doc_id), r.topic, r.n_tokens, round(w[r.source, r.lang, r.topic], 5), r.draw < min(1.0, w[r.source, r.lang, r.topic] * rate)) for r in d)
+
+
+def mixing_docs(spark, n=160):
+    """Four subjects in two languages and three sources, one of them rare."""
+    rng = np.random.default_rng(3)
+    words = [[f"subject{t}word{k}" for k in range(30)] for t in range(4)]
+    own = {g: [f"{g}{g}common{k}" for k in range(10)] for g in "xy"}
+    rows = []
+    for i in range(n):
+        g, t = i % 2, int(rng.integers(0, 4))
+        lang = "xy"[g]
+        rows.append((i, " ".join([*rng.choice(words[t], int(rng.integers(5, 40))), *rng.choice(own[lang], 20)]), lang, "abbbbbbbccccc"[i % 13]))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+
+
+def shifted(d):
+    """Targets far from the observed shares that no cell contradicts: the shares under other weights of the cells."""
+    out = [{}, {}, {}]
+    for r in d:
+        for k, by in enumerate(mixing.BY):
+            out[k][getattr(r, by)] = out[k].get(getattr(r, by), 0.0) + r.n_tokens * (1 + zlib.crc32(f"{r.source}{r.lang}{r.topic}".encode()) % 5)
+    return [{v: x / sum(t.values()) for v, x in t.items()} for t in out]
+
+
+def test_mixing_against_brute_force_on_both_paths(spark):
+    """Shifted targets, production rounds and tolerance: the definition, the driver's path and the table's agree."""
+    docs = mixing_docs(spark)
+    model = mixing.topics_of(docs)
+    targets = shifted(mixing.described(docs, model).collect())
+    want = brute_mix(docs, model, targets, mixing.KEEP)
+    for cells in (mixing.DRIVER_CELLS, 0):
+        m = mixing.mix(docs, targets, driver_cells=cells)
+        assert sorted((str(r.doc_id), r.topic, r.n_tokens, round(r.weight, 5), r.sampled) for r in m.collect()) == want
+        kept = sorted(str(r.doc_id) for r in mixing.keep_sampled(docs, targets, driver_cells=cells).collect())
+        assert kept == [i for i, *_, s in want if s]
+    for r in mixing.marginals(mixing.mix(docs, targets)).collect():
+        assert abs(r.expected - targets[mixing.BY.index(r.marginal)].get(r.value, 0)) < 1e-6
+
+
+def test_default_targets_are_met_and_alike_on_both_paths(spark):
+    docs = mixing_docs(spark)
+    a, b = ({r.doc_id: (r.weight, r.probability, r.sampled) for r in mixing.mix(docs, driver_cells=c).collect()} for c in (mixing.DRIVER_CELLS, 0))
+    assert all(abs(a[i][0] - b[i][0]) < 1e-6 and a[i][2] == b[i][2] for i in a)
+    got = mixing.mix(docs).collect()
+    assert max(r.probability for r in got) <= 1
+    for by in mixing.BY:
+        share = {}
+        for r in got:
+            share[getattr(r, by)] = share.get(getattr(r, by), 0) + r.n_tokens
+        expected = {v: sum(r.n_tokens * r.probability for r in got if getattr(r, by) == v) for v in share}
+        for v, x in mixing.tempered(share).items():
+            assert abs(expected[v] / sum(expected.values()) - x) < 1e-6
+
+
+def test_topics_are_not_languages(spark):
+    docs = mixing_docs(spark)
+    by = {}
+    for r in mixing.described(docs, mixing.topics_of(docs)).collect():
+        by.setdefault(r.lang, {}).setdefault(r.topic, 0)
+        by[r.lang][r.topic] += 1
+    assert all(len(t) > 2 for t in by.values())
+
+
+def test_many_values_as_a_table(spark):
+    """The factors of a marginal as a table give the same as on the driver."""
     cells = [("a", "x", "p", 50), ("a", "y", "p", 30), ("b", "x", "q", 10), ("b", "y", "q", 20), ("c", "x", "q", 30), ("c", "y", "p", 5)]
     targets = [{"a": 0.4, "b": 0.3, "c": 0.3}, {"x": 0.5, "y": 0.5}, {"p": 0.5, "q": 0.5}]
-    most = 1 / mixing.KEEP
     table = mixing.cut(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long").coalesce(1))
-    got = {tuple(r[:3]): r.weight for r in mixing._rake_table(table, targets, most, mixing.TABLE_ROUNDS).select(*mixing.BY, "weight").collect()}
-    wanted = {c[:3]: w for c, w in zip(cells, mixing.rake(cells, targets, most), strict=True)}
-    assert max(wanted.values()) == most and all(abs(got[k] - w) < 1e-8 for k, w in wanted.items())
-    one = {tuple(r[:3]): r.weight for r in mixing._rake_table(table, targets, most, 1, driver_values=0).select(*mixing.BY, "weight").collect()}
-    assert all(abs(one[c[:3]] - w) < 1e-12 for c, w in zip(cells, mixing.rake(cells, targets, most, 1), strict=True))
-
-
-def _targets(spark):
-    d = mixing.described(table(spark)).collect()
-    return [{getattr(r, by): 1 / len({getattr(x, by) for x in d if x.n_tokens}) for r in d if r.n_tokens} for by in mixing.BY]
+    want = {c[:3]: w for c, w in zip(cells, mixing.rake(cells, targets, 2), strict=True)}
+    for values in (0, 10):
+        got = {tuple(r[:3]): r.weight for r in mixing._rake_table(table, targets, 2, values).select(*mixing.BY, "weight").collect()}
+        assert all(abs(got[k] - w) < 1e-12 for k, w in want.items())
+
+
+def test_mixing_cases(spark):
+    for cells in (mixing.DRIVER_CELLS, 0):
+        docs = table(spark).withColumnsRenamed({"node": "draw", "g": "topic"})
+        got = mixing.mix(docs, driver_cells=cells).collect()
+        assert len(got) == len(rows()) and {r.topic for r in got if r.doc_id in (6, 7, 8)} == {"none"}
+        kept = mixing.keep_sampled(docs, driver_cells=cells)
+        assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.sampled)
+        assert mixing.mix(empty(spark), driver_cells=cells).count() == 0 and mixing.keep_sampled(empty(spark), driver_cells=cells).count() == 0
