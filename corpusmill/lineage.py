@@ -24,9 +24,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared checkpoint folder and reads it from there: what follows survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes ``df`` to the shared checkpoint folder and reads it from there: what follows survives lost executors.
+
+    The size that the optimizer had estimated for ``df`` is left behind as well: it is a product over all joins so far, and in a
+    loop that cuts each round it grows to numbers of megabytes.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().logical().rdd(), done.schema(), False), spark)
 
 
 def release(*cuts: DataFrame) -> None:
