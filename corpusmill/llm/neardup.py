@@ -193,17 +193,19 @@ def _tokens(texts: DataFrame) -> DataFrame:
 
 
 def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
-    """One level of clusters, (g, rep, tag, tokens), to the pairs (a, b) it proposes and the members (g, rep, tag) of the next.
+    """One level of clusters, (g, rep, tag, n, d), to the pairs (a, b) it proposes and the members of the next.
 
-    Members with one ``tag`` are connected already; lists of such members alone are left out.
+    ``d`` holds what is left of a set of ``n`` shingles: the whole set at first, then its differences from the consensus so far.
+    A further consensus, of the differences of some members, is taken out in the same way. Members with one ``tag`` are connected
+    already; lists of such members alone are left out.
     """
     less, more = 100 - SIMILAR, 100 + SIMILAR
-    held = members.select("g", F.explode("tokens").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"))
+    held = members.select("g", F.explode("d").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"))
     sizes = _written(members.groupBy("g").agg(F.count(F.lit(1)).alias("size")), n_members)
     counts = cut(held.where("f > 1").join(sizes, "g"))
-    # as long as two members at most, for more than half of the members hold each of its shingles
+    # as long as two members at most, for more than half of the members hold each of its shingles; -1 - e says that e is missing
     consensus = cut(sizes.join(counts.where("2 * f > size").groupBy("g").agg(F.collect_list("e").alias("p")), "g", "left").select("g", F.coalesce("p", F.array().cast("array<long>")).alias("p")))
-    d = members.join(consensus, "g").select("g", "rep", "tag", F.size("tokens").cast("long").alias("n"), F.concat(F.array_except("tokens", "p"), F.transform(F.array_except("p", "tokens"), lambda e: -1 - e)).alias("d"))
+    d = members.join(consensus, "g").select("g", "rep", "tag", "n", F.concat(F.array_except("d", "p"), F.transform(F.array_except("p", "d"), lambda e: -1 - e)).alias("d"))
     d = cut(d.withColumn("slack", less * F.col("n") - more * F.size("d")))
     top = _written(d.groupBy("g").agg(F.max(F.struct("slack", (-F.col("rep")).alias("r"), "tag")).alias("m")).select("g", F.col("m.slack").alias("most"), (-F.col("m.r")).alias("top"), F.col("m.tag").alias("top_tag")), n_members)
     near = d.join(top, "g")
@@ -234,7 +236,8 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
     fits = 100 * F.least("p.a.n", "p.b.n") >= SIMILAR * F.greatest("p.a.n", "p.b.n")
     pairs.append(p.where(fits & ~F.coalesce(F.col("p.a.tag") == F.col("p.b.tag"), F.lit(False))).select("p.a.rep", "p.b.rep").toDF("a", "b"))
     long = lists.where(F.col("h") > RARE).dropDuplicates(["id"]).select("g", "e", "id")
-    after = cut(entries.join(long, ["g", "e"]).select(F.col("id").alias("g"), "rep", "tag"))
+    after = entries.join(long, ["g", "e"]).select("g", "id", "rep", "tag").join(near.select("g", "rep", "n", "d"), ["g", "rep"])
+    after = cut(after.select(F.col("id").alias("g"), "rep", "tag", "n", "d"))
     found = cut(pairs[0].union(pairs[1]).distinct())
     release(sizes, counts, consensus, d, top, near, entries, lists)
     return found, after
@@ -245,15 +248,15 @@ def _cluster_pairs(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
     if hot.isEmpty():
         return []
     clusters = components(hot.select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    tokens = cut(_tokens(texts.join(hot.select("rep").distinct(), "rep", "left_semi")))
-    members, found = cut(clusters.select(F.col("component").alias("g"), F.col("node").alias("rep"), F.lit(None).cast("long").alias("tag"))), []
+    tokens = _tokens(texts.join(hot.select("rep").distinct(), "rep", "left_semi"))
+    node = clusters.select(F.col("component").alias("g"), F.col("node").alias("rep"), F.lit(None).cast("long").alias("tag"))
+    members, found = cut(node.join(tokens, "rep").select("g", "rep", "tag", F.size("tokens").cast("long").alias("n"), F.col("tokens").alias("d"))), []
     while (n := members.count()) > 0:
-        level = cut(members.join(tokens, "rep"))
-        pairs, after = _level(level, n)
-        release(members, level)
+        pairs, after = _level(members, n)
+        release(members)
         members = after
         found.append(pairs)
-    release(members, tokens)
+    release(members)
     return found
 
 
