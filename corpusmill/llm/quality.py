@@ -3,7 +3,8 @@
 Every line is labelled good or bad from its own features and those of the lines before and after it; transitions tie neighbours
 together. Forward and backward messages give each line's probability of being good; weighted by length they make up the
 document's share of good text, and a logistic fit turns that into the score. The field is fitted in numpy on a bounded sample of
-labelled documents, every line under its document's label.
+labelled documents. Their lines begin with the document's label; halfway, lines of bad documents that clearly look good by
+themselves are taken as good, so that the transitions are learnt from lines of both kinds.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from .common import map_rows, whole_text
 from .toxicity import _logistic, labelled_sample
 
 THRESHOLD = 0.3
-#: The bound of the sample that the field is fitted on: rows of label 0 and of label 1, and code points a row.
+#: The bound of the sample that the field is fitted on: rows of label 0 and of label 1, code points and lines a row.
 SAMPLE_ROWS = (1500, 1500)
 SAMPLE_CHARS = 20_000
+SAMPLE_LINES = 256
 _UPPER = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))
 _LETTERS = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
+#: Log odds from which a line of a bad document is taken as good.
+CLEAR = 2.0
 #: Of these the neighbours' values count, too.
 SHARED = 7
 
@@ -109,54 +113,74 @@ def marginals(odds: list[float], stay: tuple[float, float]) -> list[float]:
     return out
 
 
+def _pair(p: np.ndarray, stay: np.ndarray) -> np.ndarray:
+    """Messages to the next line: from (bad, good) log weights, through the transitions."""
+    return np.stack([np.logaddexp(p[:, 0] + stay[0], p[:, 1]), np.logaddexp(p[:, 0], p[:, 1] + stay[1])], axis=1)
+
+
 def train(texts: list[str], labels: list[int], share: float = 0.5, steps: int = 150, rate: float = 0.1) -> Field:
-    """Adam on the log-likelihood of the chains, all documents at once; both labels weigh the same."""
-    docs = [document_features(t.encode()) for t in texts]
+    """Adam on the log-likelihood of the chains; both labels weigh the same.
+
+    Documents are sorted by length and their lines laid out line number by line number, so a step handles only the documents that
+    have that line: memory is that of the lines there are, and one long document costs the others nothing.
+    """
     width = len(document_features(b"")[0][0])
     if len(set(labels)) < 2:
         return Field(np.zeros(width), (0.0, 0.0), np.zeros(width), np.ones(width), 0.0, 8.0 if labels and min(labels) == 1 else -8.0)
-    flat = np.concatenate([d[0] for d in docs])
-    mean, spread = flat.mean(axis=0), flat.std(axis=0) + 1e-6
+    docs = [document_features(t.encode("utf-8", "replace"))[0].astype(np.float32) for t in texts]
+    n = np.array([len(d) for d in docs])
+    order = np.argsort(-n, kind="stable")
+    n, y = n[order], np.array(labels)[order]
+    active = [int((n > t).sum()) for t in range(n[0])]  # documents with a line t are the first so many
+    first = np.concatenate([[0], np.cumsum(active)])
+    x = np.empty((first[-1], width), dtype=np.float32)
+    for k, d in enumerate(order):
+        x[first[: n[k]] + k] = docs[d]
+    del docs
+    mean, spread = x.mean(axis=0, dtype=np.float64), x.std(axis=0, dtype=np.float64) + 1e-6
     mean[-1], spread[-1] = 0.0, 1.0
-    most = max(len(d[0]) for d in docs)
-    x = np.zeros((len(docs), most, width))
-    there = np.zeros((len(docs), most), dtype=bool)
-    for k, (f, _) in enumerate(docs):
-        x[k, : len(f)], there[k, : len(f)] = (f - mean) / spread, True
-    y = np.array(labels)
-    n = there.sum(axis=1)
-    per = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / n
+    x -= mean.astype(np.float32)
+    x /= spread.astype(np.float32)
+    owner = np.concatenate([np.arange(a) for a in active])
+    per = (np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / n)[owner]
+    target = y[owner].astype(float)
     w, stay = np.zeros(width), np.zeros(2)
     m, v = np.zeros(width + 2), np.zeros(width + 2)
-    pairs = (n - 1) * per
     for step in range(1, steps + 1):
-        odds = np.clip(x @ w, -30, 30)
-        ahead, back = np.zeros((most, len(docs), 2)), np.zeros((most, len(docs), 2))
-        for t in range(most):
-            a = np.zeros((len(docs), 2)) if t == 0 else np.stack([np.logaddexp(ahead[t - 1][:, 0] + stay[0], ahead[t - 1][:, 1]), np.logaddexp(ahead[t - 1][:, 0], ahead[t - 1][:, 1] + stay[1])], axis=1)
-            a[:, 1] += odds[:, t]
-            ahead[t] = np.where(there[:, t, None], a, ahead[t - 1] if t else a)
-        for t in range(most - 2, -1, -1):
-            nxt = back[t + 1] + np.stack([np.zeros(len(docs)), odds[:, t + 1]], axis=1)
-            b = np.stack([np.logaddexp(nxt[:, 0] + stay[0], nxt[:, 1]), np.logaddexp(nxt[:, 0], nxt[:, 1] + stay[1])], axis=1)
-            back[t] = np.where(there[:, t + 1, None], b, 0.0)
-        z = np.logaddexp(ahead[-1][:, 0], ahead[-1][:, 1])
-        good = np.exp(np.clip(ahead[:, :, 1] + back[:, :, 1] - z, -50, 0)).T * there
-        same = np.zeros((2, len(docs)))
-        for t in range(1, most):
-            both = there[:, t]
-            same[0] += both * np.exp(np.clip(ahead[t - 1][:, 0] + stay[0] + back[t][:, 0] - z, -50, 0))
-            same[1] += both * np.exp(np.clip(ahead[t - 1][:, 1] + stay[1] + odds[:, t] + back[t][:, 1] - z, -50, 0))
-        gw = np.einsum("dt,dtk->k", (good - y[:, None] * there) * per[:, None], x) + 1e-3 * w
-        gs = (same * per).sum(axis=1) - np.array([((y == 0) * pairs).sum(), ((y == 1) * pairs).sum()]) + 1e-2 * stay
-        g = np.concatenate([gw, gs])
+        odds = np.clip(x @ w.astype(np.float32), -30, 30).astype(float)
+        if step == steps // 2:
+            target = np.maximum(target, odds > CLEAR)
+        ahead: list[np.ndarray] = []
+        z = np.empty(len(n))
+        for t, a in enumerate(active):
+            p = np.zeros((a, 2)) if t == 0 else _pair(ahead[-1][:a], stay)
+            p[:, 1] += odds[first[t] : first[t] + a]
+            ahead.append(p)
+            z[:a] = np.logaddexp(p[:, 0], p[:, 1])  # stands where this is the last line
+        good, same = np.empty(len(x)), np.zeros(2)
+        back = np.zeros((active[-1], 2))
+        for t in range(len(active) - 1, -1, -1):
+            a = active[t]
+            if t + 1 < len(active):
+                after = active[t + 1]
+                nxt = back + np.stack([np.zeros(after), odds[first[t + 1] : first[t + 1] + after]], axis=1)
+                both = ahead[t][:after] + stay + nxt - z[:after, None]
+                weight = per[first[t + 1] : first[t + 1] + after]
+                now, then = target[first[t] : first[t] + after], target[first[t + 1] : first[t + 1] + after]
+                same += [weight @ (np.exp(np.clip(both[:, 0], -50, 0)) - (1 - now) * (1 - then)), weight @ (np.exp(np.clip(both[:, 1], -50, 0)) - now * then)]
+                back = np.concatenate([_pair(nxt, stay), np.zeros((a - after, 2))])
+            good[first[t] : first[t] + a] = np.exp(np.clip(ahead[t][:, 1] + back[:, 1] - z[:a], -50, 0))
+        gw = x.T @ ((good - target) * per).astype(np.float32) + 1e-3 * w
+        g = np.concatenate([gw, same + 1e-2 * stay])
+        if step < steps // 2:
+            g[width:] = 0  # transitions are learnt once the lines have their labels
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w, stay = w - move[:width], np.clip(stay - move[width:], -4, 4)
     field = Field(w, (float(stay[0]), float(stay[1])), mean, spread)
-    s = np.clip([field.share_good(t.encode()) for t in texts], 1e-6, 1 - 1e-6)
-    field.slope, field.offset = _logistic(np.log(s / (1 - s)), y, share)
+    s = np.clip([field.share_good(t.encode("utf-8", "replace")) for t in texts], 1e-6, 1 - 1e-6)
+    field.slope, field.offset = _logistic(np.log(s / (1 - s)), np.array(labels), share)
     return field
 
 
@@ -174,7 +198,8 @@ def score(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "te
 
 
 def line_labels(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, line (from 0), p_good, good: the field's labels of every line."""
+    """doc_id, line (from 0), p_good, good: the field's labels of every line. Null and empty texts are one empty line; repeated
+    rows are labelled each; extra columns are ignored; an empty table gives an empty table."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def rows(it: Iterator[tuple]) -> Iterable[tuple]:
@@ -195,5 +220,5 @@ def held_out(doc_id):
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted: fitted on the labelled rows that are not held out, applied to every row. With labels
     of one kind only, the score says that kind. Cases as in :func:`score`; rows with a null doc_id are scored, too."""
-    field = train(*labelled_sample(docs, labels, "quality", held_out, SAMPLE_ROWS, SAMPLE_CHARS))
+    field = train(*labelled_sample(docs, labels, "quality", held_out, SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_LINES))
     return score(docs, field).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -26,8 +26,8 @@ DIM = 8
 PASSAGE = 64
 #: A passage of fewer distinct words is averaged as if it had so many.
 LEAST = 40
-#: Passages of the sample that must hold a bucket for it to be learnt, and the decay of vectors.
-COMMON = 12
+#: Passages of the sample that must hold a bucket for it to be learnt (what one or two hold says nothing of others), and the decay.
+COMMON = 3
 DECAY = 1e-6
 #: The bound of the sample that the model is fitted on: rows of label 0 and of label 1, and code points a row.
 SAMPLE_ROWS = (1600, 800)
@@ -157,14 +157,16 @@ class Memo(dict):
         return v
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, rows: tuple[int, int] = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[int], float]:
-    """Up to ``rows`` texts of label 0 and of label 1, of at most ``chars`` code points each, in an order fixed by a hash; no held-out rows; and the
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, rows: tuple[int, int] = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, lines: int | None = None) -> tuple[list[str], list[int], float]:
+    """Up to ``rows`` texts of label 0 and of label 1, of at most ``chars`` code points (and ``lines`` lines) each, in an order fixed by a hash; no held-out rows; and the
     share of label 1 among all labelled rows that are not held out.
 
     ``held_out``: Column to Column, over the doc_id. Bounded by sum(rows) * chars code points on the driver.
     """
     own = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)").distinct()
     fits = docs.select("doc_id", "text").where(f"length(text) <= {chars}")
+    if lines is not None:
+        fits = fits.where(F.length("text") - F.length(F.translate("text", "\n", "")) < lines)
     known = fits.select("doc_id", F.length("text").alias("n")).join(own, "doc_id").withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
     picked = [known.where(f"label = {k}").orderBy("h", "doc_id").select("doc_id", "label").limit(rows[k]) for k in (0, 1)]
     chosen = picked[0].union(picked[1])

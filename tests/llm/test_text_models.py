@@ -184,3 +184,66 @@ def test_mixing_cases(spark):
         kept = mixing.keep_sampled(docs, driver_cells=cells)
         assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.sampled)
         assert mixing.mix(empty(spark), driver_cells=cells).count() == 0 and mixing.keep_sampled(empty(spark), driver_cells=cells).count() == 0
+
+
+def test_toxicity_score_by_its_definition(spark):
+    """The score of every text from its passages, words and n-grams in plain loops, without tables of words."""
+    import math
+
+    import xxhash
+
+    docs, labels = corpus(spark, 200)
+    model = toxicity.train(*toxicity.labelled_sample(docs, labels, "toxic", toxicity.held_out))
+
+    def plain(text):
+        w, best = toxicity.words(text or ""), None
+        for at in range(0, len(w), toxicity.PASSAGE):
+            bag, total = set(w[at : at + toxicity.PASSAGE]), 0.0
+            for x in bag:
+                marked = f"<{x}>"
+                grams = [marked] + [marked[i : i + k] for k in (3, 4, 5) for i in range(len(marked) - k + 1)]
+                total += sum(model.table[xxhash.xxh3_64_intdigest(g) % toxicity.BUCKETS] for g in grams) / len(grams)
+            logit = total / max(toxicity.LEAST, len(bag))
+            best = logit if best is None else max(best, logit)
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * ((best or 0.0) + model.bias) + model.offset))))
+
+    both = docs.select("doc_id", "text").union(table(spark).select("doc_id", "text"))
+    want = sorted((str(r.doc_id), round(plain(r.text), 9)) for r in both.collect())
+    assert sorted((str(r.doc_id), round(r.score, 9)) for r in toxicity.score(both, model).collect()) == want
+
+
+def test_quality_score_by_enumeration(spark):
+    """Short texts: every labelling of the lines weighed, the marginals by length, and the logistic fit."""
+    from itertools import product
+    from math import exp, log
+
+    docs, labels = corpus(spark, 200)
+    field = quality.train(*quality.labelled_sample(docs, labels, "quality", quality.held_out, lines=quality.SAMPLE_LINES))
+    texts = ["", "one line.", "a b c\n\n%%% %%%\nThe end of it.", "x\nx\nx\ny y y y y y", "\n\n", "é ü\n1234 5678"]
+    for t in texts:
+        x, lengths = quality.document_features(t.encode())
+        odds = [max(-30.0, min(30.0, float(o))) for o in (x - field.mean) / field.spread @ field.weights]
+        good, whole = [0.0] * len(odds), 0.0
+        for y in product((0, 1), repeat=len(odds)):
+            p = exp(sum(o for o, v in zip(odds, y, strict=True) if v) + sum(field.stay[a] for a, b in zip(y, y[1:], strict=False) if a == b))
+            whole += p
+            good = [g + p * v for g, v in zip(good, y, strict=True)]
+        m = [g / whole for g in good]
+        share = sum(a * b for a, b in zip(m, lengths, strict=True)) / sum(lengths) if sum(lengths) else sum(m) / len(m)
+        share = min(max(share, 1e-6), 1 - 1e-6)
+        assert abs(field.score(t.encode()) - 1 / (1 + exp(-max(-30.0, min(30.0, field.slope * log(share / (1 - share)) + field.offset))))) < 1e-9
+
+
+def test_lines_are_labelled(spark):
+    docs, labels = corpus(spark, 200)
+    field = quality.train(*quality.labelled_sample(docs, labels, "quality", quality.held_out))
+    got = quality.line_labels(table(spark), field).collect()
+    assert {(r.doc_id, r.line) for r in got} >= {(6, 0), (7, 0), (12, 0), (12, 2)} and all(r.good == (r.p_good >= 0.5) for r in got)
+    assert quality.line_labels(empty(spark), field).count() == 0
+
+
+def test_long_documents_cost_their_lines_alone():
+    """One text of many lines among short ones trains in memory and time of its lines."""
+    texts = [f"word{k} and more words.\nThat is all." if k % 2 else f"%%% {k} %%%\n|||" for k in range(300)] + ["x\n" * 4000]
+    field = quality.train(texts, [k % 2 for k in range(300)] + [0], steps=4)
+    assert np.isfinite(field.weights).all()
