@@ -26,13 +26,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared checkpoint folder and reads it from there: what follows survives lost executors.
 
-    The size that the optimizer had estimated for ``df`` is left behind as well: it is a product over all joins so far, and in a
-    loop that cuts each round it grows to numbers of megabytes.
+    The optimizer is told the size of the files. What it had estimated for ``df`` is a product over all joins so far, and in a loop
+    that cuts each round it grows to numbers of megabytes.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    done = df.checkpoint(eager=True)._jdf
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().logical().rdd(), done.schema(), False), spark)
+    sc, session = spark.sparkContext, spark._jsparkSession
+    rdd = df.checkpoint(eager=True)._jdf.queryExecution().logical().rdd()
+    bare = session.internalCreateDataFrame(rdd, df._jdf.schema(), False).queryExecution().logical()
+    path = sc._jvm.org.apache.hadoop.fs.Path(rdd.getCheckpointFile().get())
+    size = path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    none = sc._jvm.scala.Option.empty()
+    stats = spark.range(size // 8 + 1)._jdf.queryExecution().optimizedPlan().stats()  # that of so many longs
+    plan = sc._jvm.org.apache.spark.sql.execution.LogicalRDD(bare.output(), rdd, bare.outputPartitioning(), bare.outputOrdering(), False, none, session, sc._jvm.scala.Option.apply(stats), none)
+    return DataFrame(sc._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plan), spark)
 
 
 def release(*cuts: DataFrame) -> None:
