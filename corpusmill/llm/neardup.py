@@ -215,10 +215,11 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
     least = F.greatest(F.lit(1), F.ceil(-(F.col("slack") + F.col("most")) / (2 * more)).cast("long"))
     near = cut(near.select("g", "rep", "n", "d", tag.alias("tag"), (star & (F.col("rep") != F.col("top"))).alias("star"), "top", F.least(reach, F.size("d") - least + 1).alias("prefix")))
     pairs = [near.where("star").select(F.least("rep", "top").alias("a"), F.greatest("rep", "top").alias("b"))]
-    f = counts.select("g", F.when(F.expr("2 * f > size"), -1 - F.col("e")).otherwise(F.col("e")).alias("e"), F.when(F.expr("2 * f > size"), F.col("size") - F.col("f")).otherwise(F.col("f")).alias("f"))
-    said = near.where("prefix > 0").select("g", "rep", "n", "tag", "prefix", F.size("d").alias("nd"), F.explode("d").alias("e")).join(f.where("f > 1"), ["g", "e"])
+    # differences of one holder, or of members that are connected already, propose nothing and come before all others
+    held = near.select("g", "tag", F.explode("d").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"), F.count("tag").alias("ht"), F.min("tag").alias("t0"), F.max("tag").alias("t1"))
+    useful = cut(held.where("f > 1 and not (f = ht and t0 = t1)").select("g", "e", "f"))
+    said = near.where("prefix > 0").select("g", "rep", "n", "tag", "prefix", F.size("d").alias("nd"), F.explode("d").alias("e")).join(useful, ["g", "e"])
     ranked = said.groupBy("g", "rep", "n", "tag", "prefix", "nd").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s"))
-    # differences of one holder come before these
     kept = F.slice("s", F.lit(1), F.greatest(F.lit(0), (F.col("prefix") - F.col("nd") + F.size("s")).cast("int")))
     entries = cut(ranked.select("g", "rep", "n", "tag", F.explode(kept).alias("x")).select("g", F.col("x.e").alias("e"), "rep", "n", "tag"))
     lists = entries.groupBy("g", "e").agg(
@@ -239,7 +240,7 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
     after = entries.join(long, ["g", "e"]).select("g", "id", "rep", "tag").join(near.select("g", "rep", "n", "d"), ["g", "rep"])
     after = cut(after.select(F.col("id").alias("g"), "rep", "tag", "n", "d"))
     found = cut(pairs[0].union(pairs[1]).distinct())
-    release(sizes, counts, consensus, d, top, near, entries, lists)
+    release(sizes, counts, consensus, d, top, near, useful, entries, lists)
     return found, after
 
 
