@@ -146,7 +146,8 @@ def _classes(docs: DataFrame, doc_id: str, text: str, hasher) -> tuple[DataFrame
     same = ["fp", "n_bytes"]
     groups = cut(_groups(fps, same))  # written, so that the joins below meet plain shuffles, whose large partitions Spark can split
     several = groups.where("group_size > 1").select(*same)
-    rows = fps.join(several, same, "left_semi").select("row_key", *same).distinct()
+    # grouped by row_key alone, so that Spark may deal the joined rows of a hot fingerprint to many tasks
+    rows = fps.join(several, same, "left_semi").groupBy("row_key").agg(*(F.first(c).alias(c) for c in same))
     chunks = _compared(docs.select(row_key(doc_id, text), F.col(text).alias("text")).join(rows, "row_key"))
     contents = chunks.groupBy(*same, "no", "chunk").agg(F.count(F.lit(1)).alias("n"))
     collided = cut(contents.groupBy(*same, "no").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(*same).distinct())
