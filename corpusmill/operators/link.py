@@ -89,7 +89,9 @@ def compatible(a: DataFrame, b: DataFrame, on: list[str], columns: list[str], op
 def in_ranges(points: DataFrame, ranges: DataFrame, on: list[str], point: str, lo: str, hi: str, order: str) -> DataFrame:
     """Every point with the last range (by ``order``) that holds it; null without one. Equality on ``on`` keeps the join local."""
 
-    hit = points.join(ranges, on).where(F.col(point).between(F.col(lo), F.col(hi)))
+    r = ranges.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = [F.col(c) == F.col(f"_{c}") for c in on]
+    hit = points.join(r, [*same, F.col(point).between(F.col(lo), F.col(hi))], "left")
     return hit.groupBy(*on, point).agg(F.max_by(F.col(lo), F.col(order)).alias("range_lo"), F.max(order).alias("range_no"))
 
 

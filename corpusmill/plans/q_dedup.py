@@ -243,7 +243,7 @@ def compat_pairing(read):
 
 @query("""
 WITH r AS (SELECT conv_id, turn AS lo, turn + 2 AS hi, turn AS no FROM conversations WHERE turn % 2 = 0)
-SELECT c.conv_id, c.turn, max(r.no) AS range_lo, max(r.no) AS range_no FROM conversations c JOIN r ON c.conv_id = r.conv_id AND c.turn BETWEEN r.lo AND r.hi GROUP BY c.conv_id, c.turn
+SELECT c.conv_id, c.turn, max(r.no) AS range_lo, max(r.no) AS range_no FROM conversations c LEFT JOIN r ON c.conv_id = r.conv_id AND c.turn BETWEEN r.lo AND r.hi GROUP BY c.conv_id, c.turn
 """)
 def range_bucket(read):
     c = read("conversations").select("conv_id", "turn")
