@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,7 +122,7 @@ def quarantined(df: DataFrame, by_id: Column, by_exam: Column, unconfirmed: Colu
     return df.withColumn("resolved", F.coalesce(resolved, F.lit(False))).withColumn("reason", F.when(F.col("resolved"), F.lit(None).cast("string")).otherwise(reason))
 
 
-def small_change(diff: DataFrame, most_rows: int = 30, most_keys: int = 10) -> DataFrame:
-    """One row, ``publish``: whether a diff (id, field) is small enough to go out without review."""
-    g = diff.agg(F.countDistinct("id").alias("n_rows"), F.countDistinct(F.when(F.col("field") == "key", F.col("id"))).alias("n_keys"))
+def small_change(diff: DataFrame, most_rows: int = 30, most_keys: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """One row, or one for each value of ``by``: ``publish``, whether a diff (id, field) is small enough to go out without review."""
+    g = diff.groupBy(*by).agg(F.countDistinct("id").alias("n_rows"), F.countDistinct(F.when(F.col("field") == "key", F.col("id"))).alias("n_keys"))
     return g.withColumn("publish", (F.col("n_rows") <= most_rows) & (F.col("n_keys") <= most_keys))

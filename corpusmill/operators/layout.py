@@ -5,6 +5,8 @@ A word is (doc, page, x0, x1, top, bottom, size, text); a decoder gives these ta
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,9 +49,10 @@ def is_label_line(words: Column, widest_gap: Column, size: Column) -> Column:
     return (F.size(words) >= 2) & ((numeric >= 0.5 * F.size(words)) | (widest_gap > 3 * size))
 
 
-def in_paragraph(lines: DataFrame, key: list[str], body: float, width: Column) -> DataFrame:
-    """Flags lines that a neighbour of their column continues: close above or below, of the same size, over 60 % of the width."""
-    w = Window.partitionBy(*key).orderBy("top", "x0")
+def in_paragraph(lines: DataFrame, key: list[str], body: float, width: Column, ties: Sequence[str] = ("x1", "size")) -> DataFrame:
+    """Flags lines that a neighbour of their column continues: close above or below, of the same size, over 60 % of the width.
+    Lines that begin at one point are ordered by ``ties``."""
+    w = Window.partitionBy(*key).orderBy("top", "x0", *ties)
     near = lambda gap, wide, size: F.coalesce((gap <= 0.6 * body) & (wide > 0.6 * width) & (size == F.col("size")), F.lit(False))
     above = near(F.col("top") - F.lag("bottom").over(w), F.lag(F.col("x1") - F.col("x0")).over(w), F.lag("size").over(w))
     below = near(F.lead("top").over(w) - F.col("bottom"), F.lead(F.col("x1") - F.col("x0")).over(w), F.lead("size").over(w))

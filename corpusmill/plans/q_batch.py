@@ -136,8 +136,9 @@ def heading_styles(read):
 
 @query(r"""
 WITH v AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+(?:-\p{L}+)*')) AS word FROM documents) GROUP BY word),
-p AS (SELECT doc_id, regexp_extract(text, '^([A-Za-z]+)', 1) AS a, regexp_extract(text, '^[A-Za-z]+ ([A-Za-z]+)', 1) AS b FROM documents)
-SELECT doc_id, CASE WHEN a <> '' AND b <> '' AND coalesce(j.n, 0) > coalesce(h.n, 0) THEN a || b ELSE a || '-' || b END AS joined, a <> '' AND b <> '' AND coalesce(j.n, 0) = coalesce(h.n, 0) AS doubt
+l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+p AS (SELECT doc_id, line_no, regexp_extract(l[line_no], '([A-Za-z]+)\W*$', 1) AS a, regexp_extract(l[line_no + 1], '^\W*([A-Za-z]+)', 1) AS b FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS line_no FROM l))
+SELECT doc_id, line_no, CASE WHEN a <> '' AND b <> '' AND coalesce(j.n, 0) > coalesce(h.n, 0) THEN a || b ELSE a || '-' || b END AS joined, a <> '' AND b <> '' AND coalesce(j.n, 0) = coalesce(h.n, 0) AS doubt
 FROM p LEFT JOIN v j ON j.word = lower(a || b) LEFT JOIN v h ON h.word = lower(a || '-' || b)
 """)
 def hyphen_join(read):
@@ -145,11 +146,14 @@ def hyphen_join(read):
 
     d = read("documents")
     v = vocabulary(d, 1)
-    p = d.select("doc_id", F.regexp_extract("text", "^([A-Za-z]+)", 1).alias("a"), F.regexp_extract("text", "^[A-Za-z]+ ([A-Za-z]+)", 1).alias("b"))
+    l = F.split("text", "\n", -1)
+    pairs = F.arrays_zip(l.alias("left"), F.slice(l, 2, F.size(l)).alias("right"))
+    p = d.select("doc_id", F.posexplode(pairs).alias("p", "x")).where("x.right is not null")
+    p = p.select("doc_id", (F.col("p") + 1).cast("long").alias("line_no"), F.regexp_extract("x.left", r"([A-Za-z]+)\W*$", 1).alias("a"), F.regexp_extract("x.right", r"^\W*([A-Za-z]+)", 1).alias("b"))
     p = p.withColumn("j", F.lower(F.concat("a", "b"))).withColumn("h", F.lower(F.concat("a", F.lit("-"), "b")))
     q = p.join(v.select(F.col("word").alias("j"), F.col("n").alias("nj")), "j", "left").join(v.select(F.col("word").alias("h"), F.col("n").alias("nh")), "h", "left").fillna(0, ["nj", "nh"])
     r = P.join_hyphen(F.concat("a", F.lit("-")), F.col("b"), F.col("nj"), F.col("nh"))
-    return q.select("doc_id", r["text"].alias("joined"), r["doubt"].alias("doubt"))
+    return q.select("doc_id", "line_no", r["text"].alias("joined"), r["doubt"].alias("doubt"))
 
 
 @query("""
@@ -285,11 +289,11 @@ def label_merge(read):
 
 
 @query("""
-SELECT count(DISTINCT c_custkey) AS n_rows, count(DISTINCT CASE WHEN c_custkey % 4 = 0 THEN c_custkey END) AS n_keys, count(DISTINCT c_custkey) <= 30 AND count(DISTINCT CASE WHEN c_custkey % 4 = 0 THEN c_custkey END) <= 10 AS publish FROM customer WHERE c_custkey <= 25
+SELECT c_nationkey, c_mktsegment, count(DISTINCT c_custkey) AS n_rows, count(DISTINCT CASE WHEN c_custkey % 4 = 0 THEN c_custkey END) AS n_keys, count(DISTINCT c_custkey) <= 12 AND count(DISTINCT CASE WHEN c_custkey % 4 = 0 THEN c_custkey END) <= 3 AS publish FROM customer GROUP BY ALL
 """)
 def size_gate(read):
-    d = read("customer").where("c_custkey <= 25").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 4 == 0, "key").otherwise("statement").alias("field"))
-    return B.small_change(d)
+    d = read("customer").select("c_nationkey", "c_mktsegment", F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 4 == 0, "key").otherwise("statement").alias("field"))
+    return B.small_change(d, 12, 3, ["c_nationkey", "c_mktsegment"])
 
 
 @query("""

@@ -301,14 +301,15 @@ def array_nm(read):
 
 @query(r"""
 WITH c AS (SELECT doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '\b([0-9]{1,2})\b', 1), lambda x: x::BIGINT))) AS item_id FROM documents)
-SELECT c.doc_id, c.item_id, 1 + (b.text LIKE '%' || left(d.text, 20) || '%')::INT AS points FROM c JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id)
+SELECT c.doc_id, c.item_id, 1 + contains(d.text, b.text)::INT AS points FROM c JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id)
 """)
 def text_citation(read):
-    """Benchmark items that a document cites by number: one point, two if the item holds the document's beginning."""
+    """Benchmark items that a document cites by number: one point, two if it also holds the item's whole text."""
     d = read("documents")
     nums = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"\b([0-9]{1,2})\b"), F.lit(1)), lambda x: x.cast("long")))
-    c = d.select("doc_id", F.substring("text", 1, 20).alias("head"), F.explode(nums).alias("item_id"))
-    return c.join(read("benchmark"), "item_id").select("doc_id", "item_id", (1 + F.contains("text", "head").cast("int")).alias("points"))
+    c = d.select("doc_id", "text", F.explode(nums).alias("item_id"))
+    item = read("benchmark").select("item_id", F.col("text").alias("item"))
+    return c.join(item, "item_id").select("doc_id", "item_id", (1 + F.contains("text", "item").cast("int")).alias("points"))
 
 
 @query("""

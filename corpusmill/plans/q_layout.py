@@ -49,31 +49,32 @@ def page_exclusion(read):
 
 
 @query(r"""
-SELECT doc_id, len(w) >= 2 AND (len(list_filter(w, lambda x: regexp_matches(x, '^[-+]?[0-9.,%°]+[a-zA-Z]?$'))) >= 0.5 * len(w) OR n_chars % 40 > 30) AS label FROM (SELECT doc_id, n_chars, string_split(doc_id || ' 12% ' || left(text, 20), ' ') AS w FROM documents)
+WITH l AS (SELECT doc_id, n_chars, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents)
+SELECT doc_id, line_no, len(w) >= 2 AND (len(list_filter(w, lambda x: regexp_matches(x, '^[-+]?[0-9.,%°]+[a-zA-Z]?$'))) >= 0.5 * len(w) OR (n_chars + line_no) % 40 > 30) AS label
+FROM (SELECT doc_id, n_chars, line_no, string_split(doc_id || ' 12% ' || line, ' ') AS w FROM l)
 """)
 def label_lines(read):
-    w = F.split(F.concat(F.col("doc_id").cast("string"), F.lit(" 12% "), F.substring("text", 1, 20)), " ")
-    return read("documents").select("doc_id", L.is_label_line(w, F.col("n_chars") % 40, F.lit(10)).alias("label"))
+    l = read("documents").select("doc_id", "n_chars", F.posexplode(F.split("text", "\n", -1)).alias("p", "line")).withColumn("line_no", (F.col("p") + 1).cast("long"))
+    w = F.split(F.concat(F.col("doc_id").cast("string"), F.lit(" 12% "), F.col("line")), " ")
+    return l.select("doc_id", "line_no", L.is_label_line(w, (F.col("n_chars") + F.col("line_no")) % 40, F.lit(10)).alias("label"))
 
 
 @query(f"""
-WITH {_W}, l AS (SELECT *, lag(bottom) OVER v AS pb, lag(x1 - x0) OVER v AS pw, lag(size) OVER v AS ps, lead(top) OVER v AS nt, lead(x1 - x0) OVER v AS nw, lead(size) OVER v AS ns FROM w WINDOW v AS (PARTITION BY doc, page ORDER BY top, x0, id))
-SELECT id, coalesce(top - pb <= 6 AND pw > 12 AND ps = size, false) OR coalesce(nt - bottom <= 6 AND nw > 12 AND ns = size, false) AS in_paragraph FROM l WHERE id IN (SELECT min(id) FROM w GROUP BY doc, page, top, x0 HAVING count(*) = 1) AND (doc, page) NOT IN (SELECT doc, page FROM (SELECT doc, page FROM w GROUP BY doc, page, top, x0 HAVING count(*) > 1))
+WITH {_W}, l AS (SELECT *, lag(bottom) OVER v AS pb, lag(x1 - x0) OVER v AS pw, lag(size) OVER v AS ps, lead(top) OVER v AS nt, lead(x1 - x0) OVER v AS nw, lead(size) OVER v AS ns FROM w WINDOW v AS (PARTITION BY doc, page ORDER BY top, x0, x1, size, id))
+SELECT id, coalesce(top - pb <= 6 AND pw > 12 AND ps = size, false) OR coalesce(nt - bottom <= 6 AND nw > 12 AND ns = size, false) AS in_paragraph FROM l
 """)
 def paragraph_flags(read):
-    w = _words(read)
-    tied = w.groupBy("doc", "page", "top", "x0").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", "page").distinct()
-    return L.in_paragraph(w.join(tied, ["doc", "page"], "left_anti"), ["doc", "page"], 10.0, F.lit(20)).select("id", "in_paragraph")
+    return L.in_paragraph(_words(read), ["doc", "page"], 10.0, F.lit(20), ["x1", "size", "id"]).select("id", "in_paragraph")
 
 
 @query(f"""
-WITH RECURSIVE {_W}, b AS (SELECT doc, page, id, x0, x1, top, bottom FROM w WHERE doc <= 20 AND page <= 2),
+WITH RECURSIVE {_W}, b AS (SELECT doc, page, id, x0, x1, top, bottom FROM w),
 e AS (SELECT a.id AS a, c.id AS b FROM b a JOIN b c ON a.doc = c.doc AND a.page = c.page AND a.id <> c.id AND a.x0 <= c.x1 + 3 AND c.x0 <= a.x1 + 3 AND a.top <= c.bottom + 3 AND c.top <= a.bottom + 3),
 r AS (SELECT id, id AS c FROM b UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id), m AS (SELECT id, min(c) AS box FROM r GROUP BY id)
 SELECT doc, page, box, min(x0) AS x0, min(top) AS top, max(x1) AS x1, max(bottom) AS bottom, count(*) AS n FROM b JOIN m USING (id) GROUP BY doc, page, box
 """)
 def box_merge(read):
-    return L.merge_boxes(_words(read).where("doc <= 20 and page <= 2"), ["doc", "page"])
+    return L.merge_boxes(_words(read), ["doc", "page"])
 
 
 @query(f"WITH {_W} SELECT doc, page, count(*) FILTER (text = 'A') AS a, count(*) FILTER (text NOT IN ('A','B','C','D','E')) AS other FROM w GROUP BY doc, page HAVING least(count(*) FILTER (text = 'A'), count(*) FILTER (text = 'B'), count(*) FILTER (text = 'C'), count(*) FILTER (text = 'D')) >= 5 AND count(*) FILTER (text = 'F') <= 0.2 * count(*)")
@@ -193,13 +194,13 @@ def exam_titles(read):
 
 
 @query("""
-SELECT doc_id, rtrim(string_split(text, ' the ')[1], ' ') AS cut, CASE WHEN doc_id % 2 = 0 THEN 'A x' ELSE 'B x' END AS letters, 'opt' AS option, CASE WHEN doc_id % 3 = 0 THEN 'Note e adote: ' || doc_id END AS note, translate(left(text, 30), 'the', 'ταε') AS remapped FROM documents
+SELECT doc_id, rtrim(string_split(text, ' the ')[1], ' ') AS cut, CASE WHEN doc_id % 2 = 0 THEN 'A x' ELSE 'B x' END AS letters, 'opt' AS option, CASE WHEN doc_id % 3 = 0 THEN 'Note e adote: ' || doc_id END AS note, translate(text, 'the', 'ταε') AS remapped FROM documents
 """)
 def text_fixups(read):
     k = F.col("doc_id")
     note = I.split_note(F.when(k % 3 == 0, F.concat(F.lit("opt Note e adote: "), k.cast("string"))).otherwise("opt"), "Note e adote")
     twice = F.when(k % 2 == 0, "AA x").otherwise("BB x")
-    return read("documents").select("doc_id", I.cut_at(F.col("text"), " the ").alias("cut"), I.single_letters(twice).alias("letters"), note["option"].alias("option"), note["note"].alias("note"), I.remapped(F.substring("text", 1, 30), "the", "ταε").alias("remapped"))
+    return read("documents").select("doc_id", I.cut_at(F.col("text"), " the ").alias("cut"), I.single_letters(twice).alias("letters"), note["option"].alias("option"), note["note"].alias("note"), I.remapped(F.col("text"), "the", "ταε").alias("remapped"))
 
 
 @query(r"""
@@ -215,7 +216,7 @@ def text_assignment(read):
 
 
 @query(r"""
-WITH o AS (SELECT conv_id AS id, chr(65 + turn::INT) AS letter, list_distinct(regexp_extract_all(lower(left(text, 120)), '[\p{L}\p{N}_]+')) AS w, turn FROM conversations), x AS (SELECT conv_id AS id, list_distinct(regexp_extract_all(lower(left(text, 120)), '[\p{L}\p{N}_]+')) AS e FROM conversations WHERE turn = 1),
+WITH o AS (SELECT conv_id AS id, chr(65 + turn::INT) AS letter, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w, turn FROM conversations), x AS (SELECT conv_id AS id, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS e FROM conversations WHERE turn = 1),
 s AS (SELECT o.id, letter, len(list_intersect(w, e)) / greatest(1, len(w)) AS s FROM o JOIN x ON o.id = x.id), r AS (SELECT *, row_number() OVER v AS r, coalesce(lead(s) OVER v, 0) AS second FROM s WINDOW v AS (PARTITION BY id ORDER BY s DESC, letter))
 SELECT id, letter FROM r WHERE r = 1 AND s >= 0.5 AND s >= second + 0.25
 """)

@@ -231,9 +231,9 @@ def path_rules(read):
     return read("pages").select("page_id", g["grp"].alias("grp"), g["lang"].alias("lang"))
 
 
-@query(f"SELECT doc_id, CASE WHEN f LIKE '%tion%' THEN 'latin' WHEN f LIKE '%keit%' THEN 'german' WHEN f LIKE '%eau%' THEN 'french' ELSE 'other' END AS label FROM (SELECT doc_id, {_FOLD.format('left(text, 200)')} AS f FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN f LIKE '%tion%' THEN 'latin' WHEN f LIKE '%keit%' THEN 'german' WHEN f LIKE '%eau%' THEN 'french' ELSE 'other' END AS label FROM (SELECT doc_id, {_FOLD.format('text')} AS f FROM documents)")
 def keyword_lookup(read):
-    return read("documents").select("doc_id", T.first_keyword(F.substring("text", 1, 200), [("tion", "latin"), ("keit", "german"), ("eau", "french")], "other").alias("label"))
+    return read("documents").select("doc_id", T.first_keyword(F.col("text"), [("tion", "latin"), ("keit", "german"), ("eau", "french")], "other").alias("label"))
 
 
 def _alerts_of_orders():
