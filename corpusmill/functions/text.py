@@ -195,6 +195,32 @@ def renumber_markers(c: Column, offset: Column) -> Column:
     return F.array_join(F.transform(F.arrays_zip(pieces.alias("p"), marks.alias("m")), lambda z: F.concat(z["p"], z["m"])), "")
 
 
+def remap_markers(c: Column, numbers: Column) -> Column:
+    """``{{img:k}}`` as ``{{img:numbers[k]}}``, a map of ints; markers that it lacks stay."""
+    pieces = F.split(c, r"\{\{img:[0-9]+\}\}", -1)
+    old = F.transform(F.regexp_extract_all(c, F.lit(r"\{\{img:([0-9]+)\}\}"), F.lit(1)), lambda n: n.cast("int"))
+    marks = F.concat(F.transform(old, lambda n: F.concat(F.lit("{{img:"), F.coalesce(F.try_element_at(numbers, n), n).cast("string"), F.lit("}}"))), F.array(F.lit("")))
+    return F.array_join(F.transform(F.arrays_zip(pieces.alias("p"), marks.alias("m")), lambda z: F.concat(z["p"], z["m"])), "")
+
+
+def iso_timestamp(c: Column) -> Column:
+    """The time that an ISO 8601 text states; null where it states none."""
+    return F.try_to_timestamp(c)
+
+
+def hours_minutes(seconds: Column) -> Column:
+    """A span of seconds as ``h:mm``; minutes that have begun don't count."""
+    minutes = F.floor(seconds / 60)
+    return F.concat(F.floor(minutes / 60).cast("string"), F.lit(":"), F.lpad((minutes % 60).cast("string"), 2, "0"))
+
+
+def packed_bits(c: Column) -> Column:
+    """A text of 0 and 1 as lower-case hex, eight bits a byte, the last byte filled with zeros."""
+    whole = F.rpad(c, (F.ceil(F.length(c) / 8) * 8).cast("int"), F.lit("0"))
+    at = F.when(F.length(c) > 0, F.sequence(F.lit(0), F.ceil(F.length(c) / 8).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(at, lambda i: F.lower(F.lpad(F.conv(F.substring(whole, i * 8 + 1, F.lit(8)), 2, 16), 2, "0"))), "")
+
+
 def place_sources(c: Column, is_source: str = r"^(Fonte|Source|Disponível em)\b") -> Column:
     """Paragraphs that are sources or figures move before the last other paragraph, the command; repeated ones go."""
     parts = F.filter(F.split(c, r"\n\n"), lambda p: F.trim(p) != "")

@@ -58,6 +58,13 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.union(e.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
 
 
+def labelled_components(edges: DataFrame) -> DataFrame:
+    """node, component, labels: the components of edges (a, b, label) and the sorted set of the labels that hold each together."""
+    found = cut(components(edges))
+    labels = edges.where("a <> b").join(found, F.col("a") == F.col("node")).select("component", "label").distinct()
+    return found.join(labels.groupBy("component").agg(F.sort_array(F.collect_list("label")).alias("labels")), "component").select("node", "component", "labels")
+
+
 def suppress_ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Greedy suppression in an order: a row that stays suppresses its later neighbours; a suppressed row suppresses none.
 

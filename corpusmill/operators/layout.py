@@ -43,6 +43,15 @@ def outside_items(pages: DataFrame, key: str, page: str, has_item: Column, dropp
     return pages.join(span, key).where(droppable & (F.col("_lo").isNull() | (F.col(page) < F.col("_lo")) | (F.col(page) > F.col("_hi")))).drop("_lo", "_hi")
 
 
+def without_running_heads(lines: DataFrame, doc: str, page: str, key: list[str], margin: Column, least: int = 3, share: float = 0.25) -> DataFrame:
+    """Lines without running heads and feet: those in a margin of the page whose ``key`` is there on ``least`` pages of the
+    document and on ``share`` of them."""
+    pages = lines.groupBy(doc).agg(F.countDistinct(page).alias("_pages"))
+    seen = lines.where(margin).groupBy(doc, *key).agg(F.countDistinct(page).alias("_on")).join(pages, doc)
+    heads = seen.where((F.col("_on") >= least) & (F.col("_on") >= share * F.col("_pages"))).select(doc, *key).withColumn("_head", F.lit(True))
+    return lines.join(heads, [doc, *key], "left").where(~(F.coalesce(margin, F.lit(False)) & F.col("_head").isNotNull())).drop("_head")
+
+
 def is_label_line(words: Column, widest_gap: Column, size: Column) -> Column:
     """Whether a line labels a drawing rather than speaks: two words or more, half of them numeric, or a wide gap between them."""
     numeric = F.size(F.filter(words, lambda w: w.rlike(r"^[-+]?[0-9.,%°]+[a-zA-Z]?$")))

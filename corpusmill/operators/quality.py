@@ -59,12 +59,24 @@ def sample_status(longest: Column, score: Column, n_poor: Column, n_lines: Colum
     return F.when(longest < 50, "no_text").when((score < 0.10) & ~relaxed, "corrupt").when((score < 0.20) & ~relaxed, "doubtful").otherwise("ok")
 
 
-def repeated_lines(docs: DataFrame, least: int = 3, share: float = 0.25) -> DataFrame:
+def repeated_lines(docs: DataFrame, least: int = 3) -> DataFrame:
     """Running heads by document: line templates (digits folded, over 5 characters) on ``least`` lines or more."""
     l = lines(docs).select("doc_id", F.trim(F.regexp_replace("line", "[0-9]+", "#")).alias("key"), "line_no").where("length(key) > 5")
     return l.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("first_line")).where(f"n >= {least}")
 
 
+def without_repeated_lines(docs: DataFrame, least: int = 3, longest: int = 5) -> DataFrame:
+    """Texts without lines of more than ``longest`` characters that occur ``least`` times or more in them, and without rules of
+    underscores: doc_id, text, n_dropped. Only the lines that repeat are shuffled; texts stay in their rows until then."""
+    l = docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line")).select("doc_id", F.trim("line").alias("line"))
+    often = l.where(F.length("line") > longest).groupBy("doc_id", "line").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {least}")
+    gone = often.groupBy("doc_id").agg(F.collect_list("line").alias("_gone"))
+    parts = F.split("text", "\n", -1)
+    stays = lambda x: ~F.coalesce(F.array_contains("_gone", F.trim(x)), F.lit(False)) & ~x.rlike("^ *_{4,} *$")
+    kept = docs.select("doc_id", "text").join(gone, "doc_id", "left").withColumn("_kept", F.filter(parts, stays))
+    return kept.select("doc_id", F.array_join("_kept", "\n").alias("text"), (F.size(parts) - F.size("_kept")).alias("n_dropped"))
+
+
 def vocabulary(docs: DataFrame, least: int = 2) -> DataFrame:
     """word, n: words (hyphenated ones whole) that occur ``least`` times or more in the corpus."""
     toks = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+(?:-\p{L}+)*"), F.lit(0))

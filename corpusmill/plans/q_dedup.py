@@ -202,6 +202,19 @@ def idf_locator(read):
     return L.locate(distinct(old), distinct(new))
 
 
+@query("""
+WITH RECURSIVE e AS (SELECT c_custkey AS a, c_custkey - c_custkey % 4 AS b, 'block' AS label FROM customer WHERE c_custkey % 4 > 0 UNION ALL SELECT c_custkey, c_custkey + 4, 'next' FROM customer WHERE c_custkey % 12 = 0),
+s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS c FROM s UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.node), c AS (SELECT node, min(c) AS component FROM r GROUP BY node),
+l AS (SELECT component, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM e JOIN c ON e.a = c.node GROUP BY component)
+SELECT node, component, labels FROM c JOIN l USING (component)
+""")
+def component_labels(read):
+    c = read("customer").select(F.col("c_custkey").alias("a"))
+    block = c.where("a % 4 > 0").select("a", (F.col("a") - F.col("a") % 4).alias("b"), F.lit("block").alias("label"))
+    edges = block.union(c.where("a % 12 = 0").select("a", (F.col("a") + 4).alias("b"), F.lit("next").alias("label")))
+    return G.labelled_components(edges).withColumn("labels", F.array_join("labels", ","))
+
+
 @query()
 def suppress_copies(read):
     """Every document, with the earlier one that suppresses it; in the order of the sources, then ids."""

@@ -48,6 +48,16 @@ def page_exclusion(read):
     return L.outside_items(p, "doc", "page", F.col("item"), F.col("page") != 4).select("doc", "page")
 
 
+@query(f"""
+WITH {_W}, m AS (SELECT *, top < 63 OR bottom > 651 AS margin, top // 10 AS row FROM w), p AS (SELECT doc, count(DISTINCT page) AS pages FROM w GROUP BY doc),
+h AS (SELECT doc, text, row FROM m JOIN p USING (doc) WHERE margin GROUP BY doc, text, row, pages HAVING count(DISTINCT page) >= 3 AND count(DISTINCT page) >= 0.25 * pages)
+SELECT id, doc, page, text, top FROM m LEFT JOIN (SELECT *, true AS head FROM h) USING (doc, text, row) WHERE NOT (margin AND head IS NOT NULL)
+""")
+def running_heads(read):
+    w = _words(read).withColumn("row", F.floor(F.col("top") / 10))
+    return L.without_running_heads(w, "doc", "page", ["text", "row"], (F.col("top") < 63) | (F.col("bottom") > 651)).select("id", "doc", "page", "text", "top")
+
+
 @query(r"""
 WITH l AS (SELECT doc_id, n_chars, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents)
 SELECT doc_id, line_no, len(w) >= 2 AND (len(list_filter(w, lambda x: regexp_matches(x, '^[-+]?[0-9.,%°]+[a-zA-Z]?$'))) >= 0.5 * len(w) OR (n_chars + line_no) % 40 > 30) AS label

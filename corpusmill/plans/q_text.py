@@ -90,6 +90,35 @@ def figure_markers(read):
     return read("documents").select("doc_id", F.md5(T.figure_markers(c)).alias("shown_md5"))
 
 
+@query("""
+SELECT conv_id, turn, 'a {{img:' || CASE turn WHEN 1 THEN 40 WHEN 2 THEN 7 ELSE turn END || '}} b {{img:2000}}' || text AS remapped FROM conversations
+""")
+def marker_remap(read):
+    c = F.concat(F.lit("a {{img:"), F.col("turn").cast("string"), F.lit("}} b {{img:2000}}"), F.col("text"))
+    return read("conversations").select("conv_id", "turn", T.remap_markers(c, F.create_map(F.lit(1), F.lit(40), F.lit(2), F.lit(7))).alias("remapped"))
+
+
+@query("""
+SELECT user_id, min(ts)::VARCHAR AS first_ts, floor(epoch(max(ts)) / 60)::BIGINT - floor(epoch(min(ts)) / 60)::BIGINT AS minutes,
+  ((floor(epoch(max(ts)) / 60)::BIGINT - floor(epoch(min(ts)) / 60)::BIGINT) // 60) || ':' || lpad(((floor(epoch(max(ts)) / 60)::BIGINT - floor(epoch(min(ts)) / 60)::BIGINT) % 60)::VARCHAR, 2, '0') AS elapsed
+FROM (SELECT user_id, date_trunc('minute', ts) AS ts FROM events) GROUP BY user_id
+""")
+def elapsed_times(read):
+    """Times as ISO texts, parsed again: each user's first minute, and how long their events go on."""
+    e = read("events").select("user_id", T.iso_timestamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:00XXX")).alias("ts"))
+    g = e.groupBy("user_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    s = F.unix_timestamp("hi") - F.unix_timestamp("lo")
+    return g.select("user_id", F.date_format("lo", "yyyy-MM-dd HH:mm:ss").alias("first_ts"), F.floor(s / 60).alias("minutes"), T.hours_minutes(s).alias("elapsed"))
+
+
+@query("""
+WITH b AS (SELECT c_custkey, c_name, bin(c_custkey) AS b FROM customer), p AS (SELECT *, rpad(b, (ceil(length(b) / 8) * 8)::INT, '0') AS w FROM b)
+SELECT c_custkey, array_to_string(list_transform(range(length(w) // 8), lambda i: right('0' || lower(hex(list_sum(list_transform(range(8), lambda j: (w[i * 8 + j + 1] = '1')::BIGINT << (7 - j)))::BIGINT)), 2)), '') AS packed, base64(c_name::BLOB) AS name64 FROM p
+""")
+def packed_keys(read):
+    return read("customer").select("c_custkey", T.packed_bits(F.bin("c_custkey")).alias("packed"), F.base64(F.encode("c_name", "UTF-8")).alias("name64"))
+
+
 @query("""
 SELECT conv_id, turn, '{{img:' || (turn + conv_id) || '}} x {{img:' || (turn + conv_id + 1) || '}}' || text AS renumbered FROM conversations
 """)
@@ -188,6 +217,16 @@ def repeated_lines(read):
     return Q.repeated_lines(read("documents")).withColumn("first_line", F.col("first_line").cast("long"))
 
 
+@query("""
+WITH l AS (SELECT doc_id, string_split(text || chr(10) || '_____', chr(10)) AS l FROM documents), e AS (SELECT doc_id, trim(unnest(l), ' ') AS line FROM l),
+g AS (SELECT doc_id, list(line) AS gone FROM (SELECT doc_id, line FROM e WHERE length(line) > 5 GROUP BY ALL HAVING count(*) >= 3) GROUP BY doc_id),
+k AS (SELECT doc_id, len(l) AS n, list_filter(l, lambda x: NOT coalesce(list_contains(gone, trim(x, ' ')), false) AND NOT regexp_matches(x, '^ *_{4,} *$')) AS kept FROM l LEFT JOIN g USING (doc_id))
+SELECT doc_id, array_to_string(kept, chr(10)) AS text, n - len(kept) AS n_dropped FROM k
+""")
+def repeated_line_removal(read):
+    return Q.without_repeated_lines(read("documents").select("doc_id", F.concat("text", F.lit("\n_____")).alias("text")))
+
+
 @query(r"""
 SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+(?:-\p{L}+)*')) AS word FROM documents) GROUP BY word HAVING count(*) >= 2
 """)
