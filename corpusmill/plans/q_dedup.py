@@ -217,10 +217,8 @@ def component_labels(read):
 
 @query()
 def suppress_copies(read):
-    """Every document, with the earlier one that suppresses it; in the order of the sources, then ids."""
-    d = read("documents")
-    nodes = d.select(F.col("doc_id").alias("id"), F.struct("source", "doc_id").alias("rank"))
-    return G.suppress_ordered(nodes, _similar(read).where("jaccard >= 0.5").select("a", "b")).withColumnsRenamed({"id": "doc_id"})
+    """Every document, with the earlier one of its language that suppresses it; in the order of the sources, then ids."""
+    return D.suppressed_copies(read("documents"), ["lang"], "source")
 
 
 @query("""

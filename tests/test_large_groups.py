@@ -1,5 +1,9 @@
 """Groups larger than any bound on candidates, through the registered queries."""
 
+import re
+
+import pandas as pd
+
 from corpusmill.plans import QUERIES
 
 
@@ -33,3 +37,31 @@ def test_explained_option_reads_whole_texts(spark, tmp_path):
     turns += [(2, 1, "user", f"{filler} {told} {' '.join(f'w{k}' for k in range(6))}"), (2, 2, "user", f"{filler} stone brick slate marble")]
     at = stored(spark, tmp_path, conversations=(turns, "conv_id long, turn long, role string, text string"))
     assert {(r.id, r.letter) for r in QUERIES["explained_option"](spark, at).collect()} == {(2, "B")}
+
+
+def suppressed_in_turn(docs):
+    """The sequential loop over all pairs of (doc_id, text, lang, source)."""
+    grams = {i: set(zip(*(w[k:] for k in range(3)), strict=False)) for i, t, *_ in docs for w in [re.findall(r"\w+", (t or "").lower())]}
+    stays, out = [], {}
+    for i, t, lang, _source in sorted(docs, key=lambda d: (d[3], d[0])):
+        copy = lambda k, u: t is not None and (t == u or 0 < len(grams[i] & grams[k]) >= 0.85 * len(grams[i] | grams[k]))  # noqa: B023, E731
+        out[i] = next((k for k, u, other in stays if other == lang and copy(k, u)), None)
+        if out[i] is None:
+            stays.append((i, t, lang))
+    return out
+
+
+def test_suppression_follows_the_loop(spark, tmp_path):
+    base = [f"w{k}" for k in range(60)]
+    chain = [" ".join(base[:k] + ["x"] * k + base[k:]) for k in range(4)]
+    docs = [(i, chain[0], "en", f"s{i % 3}") for i in range(100)] + [(100 + k, c, "en", "s1") for k, c in enumerate(chain)]
+    docs += [(110, chain[0], "fr", "s0"), (111, chain[1], "fr", "s2"), (112, "a b", "en", "s0"), (113, "a b", "en", "s1"), (114, None, "en", "s0"), (115, None, "en", "s1"), (116, "", "en", "s0")]
+    at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string, lang string, source string"))
+    assert {r.doc_id: r.keeper for r in QUERIES["suppress_copies"](spark, at).collect()} == suppressed_in_turn(docs)
+
+
+def test_suppression_on_the_small_table(spark):
+    at = "/root/testdata/sf0.001"
+    docs = list(pd.read_parquet(f"{at}/documents.parquet")[["doc_id", "text", "lang", "source"]].itertuples(index=False, name=None))
+    want = suppressed_in_turn(docs)
+    assert {r.doc_id: r.keeper for r in QUERIES["suppress_copies"](spark, at).collect()} == want and any(want.values())
