@@ -163,7 +163,12 @@ def dup_numbers(read):
     return W.once_only(read("events").withColumn("day", F.col("ts").cast("date")), ["user_id", "event_type", "day"]).select("event_id")
 
 
-@query()
+@query("""
+WITH RECURSIVE n AS (SELECT l_orderkey, l_linenumber AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) AS i FROM lineitem),
+r AS (SELECT l_orderkey, i, x AS last, x::VARCHAR AS chain FROM n WHERE i = 1
+  UNION ALL SELECT r.l_orderkey, n.i, CASE WHEN x - last IN (1, 2) THEN x ELSE last END, CASE WHEN x - last IN (1, 2) THEN chain || ',' || x ELSE chain END FROM r JOIN n ON n.l_orderkey = r.l_orderkey AND n.i = r.i + 1)
+SELECT l_orderkey, arg_max(chain, i) AS chain FROM r GROUP BY l_orderkey
+""")
 def increasing_chain(read):
     c = read("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_linenumber"))).alias("s"))
     n = F.transform("s", lambda x: x["l_linenumber"])
@@ -218,7 +223,12 @@ def longest_chain(read):
     return W.longest_chain(o, "doc", "style", "number", "page")
 
 
-@query()
+@query("""
+WITH RECURSIVE d AS (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber % 4 + 1 AS n FROM lineitem), o AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, n) AS i FROM d),
+r AS (SELECT l_suppkey, l_orderkey, n, i, n <= 2 AS accepted, (CASE WHEN n <= 2 THEN n + 1 ELSE 1 END)::INT AS e FROM o WHERE i = 1
+  UNION ALL SELECT r.l_suppkey, o.l_orderkey, o.n, o.i, o.n IN (e, e + 1, 1), CASE WHEN o.n IN (e, e + 1, 1) THEN o.n + 1 ELSE e END FROM r JOIN o ON o.l_suppkey = r.l_suppkey AND o.i = r.i + 1)
+SELECT l_suppkey, l_orderkey, n, accepted FROM r
+""")
 def expected_next(read):
     return W.expected_next(read("lineitem").select("l_suppkey", "l_orderkey", (F.col("l_linenumber") % 4 + 1).alias("n")).distinct().withColumn("o", F.struct("l_orderkey", "n")), "l_suppkey", "o", "n").drop("o")
 

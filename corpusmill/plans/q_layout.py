@@ -160,7 +160,11 @@ def option_checks(read):
     return g.select("l_orderkey", I.repeated_options(F.transform("x", lambda y: y["l_returnflag"])).alias("repeated"), I.letters_out_of_order(letters).alias("disordered"))
 
 
-@query()
+@query("""
+WITH RECURSIVE n AS (SELECT l_orderkey, chr(64 + l_linenumber) AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber) AS i FROM lineitem),
+r AS (SELECT DISTINCT l_orderkey, 0::BIGINT AS i, '' AS letters FROM n UNION ALL SELECT r.l_orderkey, n.i, letters || CASE WHEN x = chr(65 + length(letters)::INT) THEN x ELSE '' END FROM r JOIN n ON n.l_orderkey = r.l_orderkey AND n.i = r.i + 1)
+SELECT l_orderkey, arg_max(letters, i) AS letters FROM r GROUP BY l_orderkey
+""")
 def accepted_letters(read):
     g = read("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber"))).alias("x"))
     return g.select("l_orderkey", F.array_join(I.accepted_letters(F.transform("x", lambda y: F.chr((64 + y["l_linenumber"]).cast("long")))), "").alias("letters"))
