@@ -337,3 +337,47 @@ SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*
 """)
 def event_sessions(read):
     return I.sessions(read("events"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'name ' || c_custkey ELSE c_name END AS c_name, CASE WHEN c_custkey % 10 = 5 THEN 'NONE' ELSE c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_custkey % 2 = 0 THEN 'old' ELSE '' END || CASE WHEN c_custkey % 10 = 0 THEN ',patched' WHEN c_custkey % 10 = 5 THEN 'patched' ELSE '' END AS notes FROM customer
+""")
+def text_patches(read):
+    """Patches that give one field or the other; the rows that have one say so in their notes."""
+    c = read("customer").select("c_custkey", "c_name", "c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, F.array(F.lit("old"))).otherwise(F.array().cast("array<string>")).alias("notes"))
+    k = F.col("c_custkey")
+    p = c.where("c_custkey % 5 = 0").select("c_custkey", F.when(k % 2 == 0, F.concat(F.lit("name "), k.cast("string"))).alias("c_name"), F.when(k % 2 == 1, "NONE").alias("c_mktsegment"))
+    return M.patch(c, p, "c_custkey", ["c_name", "c_mktsegment"], "patched").withColumn("notes", F.array_join("notes", ","))
+
+
+@query("""
+WITH e AS (SELECT o_orderkey, o_orderkey % 12 AS r, CASE o_orderkey % 12 WHEN 6 THEN 'aponta outra letra' WHEN 7 THEN 'campos da revisão' ELSE
+  CASE o_orderkey % 6 WHEN 2 THEN 'gabarito diferente' WHEN 3 THEN 'status' WHEN 4 THEN 'analise_correta_texto curta' WHEN 5 THEN 'quadro_resumo' ELSE '' END END AS errors FROM orders)
+SELECT o_orderkey, errors, CASE WHEN errors <> '' THEN 'rejected' WHEN r = 0 THEN 'accepted' ELSE 'review' END AS route FROM e
+""")
+def comment_routes(read):
+    """Commented answers in JSON, one or two kinds of fault each, through the validator and its routes."""
+    k, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    case, key, letters = k % 6, F.chr(65 + k % 4), F.array(*(F.lit(c) for c in "ABCD"))
+    said = F.when(k % 12 == 6, F.chr(65 + (k + 1) % 4)).otherwise(key)
+    wrong = F.transform(F.filter(letters, lambda l: l != key), lambda l: F.struct(l.alias("alt"), F.lit("rótulo").alias("rotulo"), F.lit("texto").alias("texto")))
+    cards = F.array_repeat(F.struct(F.lit("frente").alias("frente"), F.lit("verso").alias("verso"), F.lit("Fato").alias("tag")), 3)
+    rows = F.array_repeat(F.struct(F.lit("item").alias("item"), F.lit("detalhe").alias("detalhe")), F.when(case == 5, 2).otherwise(3))
+    whole = F.struct(
+        k.alias("id"),
+        F.when(case == 3, "talvez").otherwise("ok").alias("status"),
+        F.when(case == 2, "E").otherwise(key).alias("gabarito"),
+        F.array(F.lit("um"), F.lit("dois"), F.lit("três")).alias("passos_raciocinio"),
+        F.lit("título").alias("analise_correta_titulo"),
+        F.repeat(F.lit("texto "), F.when(case == 4, 2).otherwise(40)).alias("analise_correta_texto"),
+        F.lit("intro").alias("analise_incorretas_intro"),
+        wrong.alias("analise_incorretas"),
+        rows.alias("quadro_resumo"),
+        F.concat(F.lit("Gabarito: "), said).alias("leve_para_prova"),
+        cards.alias("flashcards"),
+    )
+    review = F.struct(k.alias("id"), F.lit("discordo").alias("status"), key.alias("gabarito"), F.when(k % 12 == 7, none).otherwise("motivo").alias("motivo"))
+    answers = read("orders").select("o_orderkey", F.when(case == 1, F.to_json(review)).otherwise(F.to_json(whole)).alias("answer"))
+    checked = answers.withColumn("errors", B.comment_errors(F.col("answer"), key, letters))
+    return B.route_comments(checked, "answer", "errors").select("o_orderkey", F.array_join("errors", "; ").alias("errors"), "route")
