@@ -157,9 +157,12 @@ def _buckets(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) to (a, b, na, nb, inter, is_link): exact counts over full sets. ``texts``: (rep, data)."""
-    left = pairs.select("a", "b").distinct().join(texts.select(F.col("rep").alias("a"), F.col("data").alias("da")), "a")
-    both = left.join(texts.select(F.col("rep").alias("b"), F.col("data").alias("db")), "b")
+    """(a, b) to (a, b, na, nb, inter, is_link): exact counts over full sets. ``texts``: (rep, data).
+
+    Both sides grow with the data, so they are shuffled at any size; a hot ``a`` is a plain join that Spark can split.
+    """
+    left = pairs.select("a", "b").distinct().join(texts.select(F.col("rep").alias("a"), F.col("data").alias("da")).hint("merge"), "a")
+    both = left.join(texts.select(F.col("rep").alias("b"), F.col("data").alias("db")).hint("merge"), "b")
 
     def rows(it: Iterator[tuple]) -> Iterable[tuple]:
         recent: OrderedDict[int, set] = OrderedDict()
@@ -272,13 +275,15 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     pairs, hot = cut(pairs), cut(hot)
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(hot.select("rep")).distinct()
     needed = cut(classes.join(needed, "rep").select("rep", F.col("first.row_key").alias("k")))
-    texts = docs.select(row_key(doc_id, text).alias("k"), whole_text(text).alias("data")).join(needed, "k").dropDuplicates(["k"]).select("rep", "data")
+    texts = docs.select(row_key(doc_id, text).alias("k"), whole_text(text).alias("data")).join(needed.hint("merge"), "k").dropDuplicates(["k"]).select("rep", "data")
     texts = cut(texts)
-    links = verify(pairs, texts)
-    for more in _cluster_pairs(hot, texts):
-        links = links.union(verify(more, texts))
-    found = cut(components(links.where("is_link").select("a", "b")))
-    release(pairs, hot, needed, texts)
+    more = _cluster_pairs(hot, texts)
+    proposed = pairs
+    for p in more:
+        proposed = proposed.union(p)
+    links = cut(verify(proposed, texts).where("is_link").select("a", "b"))
+    found = cut(components(links))
+    release(pairs, hot, needed, texts, *more, links)
     linked_ = classes.select("rep", "first").join(found, F.col("rep") == F.col("node")).groupBy("component").agg(F.min("first").alias("best"))
     best = found.join(linked_, "component").select("node", "component", "best")
     out = classes.select("set_id", "first", "rep").join(best, F.col("rep") == F.col("node"), "left")
