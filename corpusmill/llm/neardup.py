@@ -224,8 +224,12 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
     said = near.where("prefix > 0").select("g", "rep", "n", "tag", "prefix", F.size("d").alias("nd"), F.explode("d").alias("e")).join(useful, ["g", "e"])
     ranked = said.groupBy("g", "rep", "n", "tag", "prefix", "nd").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s"))
     kept = F.slice("s", F.lit(1), F.greatest(F.lit(0), (F.col("prefix") - F.col("nd") + F.size("s")).cast("int")))
-    entries = cut(ranked.select("g", "rep", "n", "tag", F.explode(kept).alias("x")).select("g", F.col("x.e").alias("e"), "rep", "n", "tag"))
-    lists = entries.groupBy("g", "e").agg(
+    entries = cut(ranked.select("g", "rep", "n", "tag", F.explode(kept).alias("x")).select("g", F.col("x.e").alias("e"), F.col("x.f").alias("f"), "rep", "n", "tag"))
+    # differences of up to RARE holders are gathered where they lie; of the others, the lists are counted first
+    member = F.sort_array(F.collect_list(F.struct("rep", "n", "tag"))).alias("m")
+    rare = entries.where(F.col("f") <= RARE).groupBy("g", "e").agg(member).where(F.size("m") > 1).select("g", "m").distinct()
+    common = entries.where(F.col("f") > RARE).drop("f")
+    lists = common.groupBy("g", "e").agg(
         F.count(F.lit(1)).alias("h"),
         F.min("tag").alias("t0"),
         F.max("tag").alias("t1"),
@@ -234,13 +238,13 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
         F.min("rep").alias("r0"),
     )
     lists = cut(lists.where("h > 1 and not (h = ht and t0 = t1)").withColumn("id", F.xxhash64("g", "h", "sum", "r0")))
-    short = entries.join(lists.where(F.col("h") <= RARE).dropDuplicates(["id"]).select("g", "e"), ["g", "e"])
-    gathered = short.groupBy("g", "e").agg(F.sort_array(F.collect_list(F.struct("rep", "n", "tag"))).alias("m"))
+    short = common.join(lists.where(F.col("h") <= RARE).dropDuplicates(["id"]).select("g", "e"), ["g", "e"])
+    gathered = short.groupBy("g", "e").agg(member).select("g", "m").union(rare)
     p = gathered.select(F.explode(_pairs(F.col("m"))).alias("p"))
     fits = 100 * F.least("p.a.n", "p.b.n") >= SIMILAR * F.greatest("p.a.n", "p.b.n")
     pairs.append(p.where(fits & ~F.coalesce(F.col("p.a.tag") == F.col("p.b.tag"), F.lit(False))).select("p.a.rep", "p.b.rep").toDF("a", "b"))
     long = lists.where(F.col("h") > RARE).dropDuplicates(["id"]).select("g", "e", "id")
-    after = entries.join(long, ["g", "e"]).select("g", "id", "rep", "tag").join(near.select("g", "rep", "n", "d"), ["g", "rep"])
+    after = common.join(long, ["g", "e"]).select("g", "id", "rep", "tag").join(near.select("g", "rep", "n", "d"), ["g", "rep"])
     after = cut(after.select(F.col("id").alias("g"), "rep", "tag", "n", "d"))
     found = cut(pairs[0].union(pairs[1]).distinct())
     release(sizes, counts, consensus, d, top, near, useful, entries, lists)
