@@ -24,30 +24,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared checkpoint folder and reads it from there: what follows survives lost executors.
-
-    The optimizer is told the size of the files. What it had estimated for ``df`` is a product over all joins so far, and in a loop
-    that cuts each round it grows to numbers of megabytes.
-    """
+    """Writes ``df`` as Parquet to the shared checkpoint folder and reads it from there: what follows survives lost executors, reads
+    only the columns it needs, and is planned by the size of the files. Columns may have any names, repeated ones too."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    sc, session = spark.sparkContext, spark._jsparkSession
-    rdd = df.checkpoint(eager=True)._jdf.queryExecution().logical().rdd()
-    bare = session.internalCreateDataFrame(rdd, df._jdf.schema(), False).queryExecution().logical()
-    path = sc._jvm.org.apache.hadoop.fs.Path(rdd.getCheckpointFile().get())
-    size = path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-    none = sc._jvm.scala.Option.empty()
-    stats = spark.range(size // 8 + 1)._jdf.queryExecution().optimizedPlan().stats()  # that of so many longs
-    plan = sc._jvm.org.apache.spark.sql.execution.LogicalRDD(bare.output(), rdd, bare.outputPartitioning(), bare.outputOrdering(), False, none, session, sc._jvm.scala.Option.apply(stats), none)
-    return DataFrame(sc._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plan), spark)
+    path = f"{checkpoint_dir(spark)}/cut-{uuid4().hex}"
+    bare = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    bare = bare.withColumns({f.name: bare[f.name].cast("string") for f in bare.schema if f.dataType.typeName() == "void"})
+    bare.write.parquet(path)
+    out = spark.read.schema(bare.schema).parquet(path).toDF(*df.columns)
+    out._cut_path = path
+    return out
 
 
 def release(*cuts: DataFrame) -> None:
     """Deletes the files of tables that :func:`cut` wrote and that nothing reads any more."""
     for df in cuts:
-        plan = df._jdf.queryExecution().logical()
-        if plan.getClass().getSimpleName() == "LogicalRDD" and plan.rdd().getCheckpointFile().isDefined():
-            remove(df.sparkSession, plan.rdd().getCheckpointFile().get())
+        if getattr(df, "_cut_path", None):
+            remove(df.sparkSession, df._cut_path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
