@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, licenses, media, mixing, neardup, quality, secrets, toxicity
+from . import bpe, chat, exact_dedup, importance, licenses, media, mixing, neardup, quality, secrets, spelling, toxicity
 from .common import documents
 
 
@@ -152,8 +152,80 @@ g AS (SELECT doc_id, count(*) AS c, string_agg(name, ',' ORDER BY name) AS l, st
 SELECT doc_id, coalesce(c, 0) AS n_licenses, coalesce(l, '') AS licenses, coalesce(x, '') AS matches FROM documents LEFT JOIN g USING (doc_id)
 """
 
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _crc_sql(text: str) -> str:
+    """The unsigned checksum of a string's UTF-8 bytes, by the table of all bytes (``crc_table``) and a fold."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, crc_t[xor(c & 255, b) + 1])), 4294967295)"""
+
+
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS crc_t)"""
+
+#: Near words from all pairs that share a wildcard or a deletion; forms are followed one by one.
+OP11_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE}, r AS (
+  SELECT doc_id, r, count(*) AS c FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')), {_LOWER}) AS r FROM documents) WHERE length(r) >= {spelling.LEAST_LENGTH} GROUP BY ALL
+), h AS (
+  SELECT r, c, coalesce({_crc_sql("doc_id || ':' || r")}, 1) AS h FROM r, crc_table
+), v AS (
+  SELECT CASE WHEN h % {spelling.DAMAGED} = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, sum(c)::BIGINT AS n FROM h GROUP BY 1 HAVING sum(c) >= {spelling.LEAST_N} AND length(word) >= {spelling.LEAST_LENGTH}
+), w AS (
+  SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM v)
+), p AS (
+  SELECT x.word, y.word AS other, y.n FROM w x JOIN w y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, v.word, v.n FROM w x JOIN v ON v.word = x.a || x.b
+  UNION SELECT v.word, x.word, x.n FROM w x JOIN v ON v.word = x.a || x.b
+), g AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other, max(n) AS other_n FROM p GROUP BY word
+), f AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {spelling.TIMES} * n THEN other END AS form, CASE WHEN other_n >= {spelling.TIMES} * n THEN other_n END AS form_n FROM v LEFT JOIN g USING (word)
+), c AS (
+  SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL
+), e AS (
+  SELECT c.word, c.at AS root FROM c JOIN f ON f.word = c.at WHERE f.form IS NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN e USING (word)
+"""
+
+OP13_SQL = rf"""
+WITH {_CRC_TABLE}, d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{importance.WORD}') AS w FROM documents
+), q AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{importance.WORD}')) AS word FROM benchmark
+), b AS (
+  SELECT word, {_crc_sql("word")} % {importance.BUCKETS} AS bucket FROM (SELECT DISTINCT unnest(w) AS word FROM d UNION SELECT word FROM q), crc_table
+), dw AS (
+  SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY ALL
+), s AS (
+  SELECT bucket, sum(n) AS s FROM dw JOIN b USING (word) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM q JOIN b USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + {importance.BUCKETS})::DOUBLE / ((s + 1)::DOUBLE * ((SELECT count(*) FROM q) + {importance.BUCKETS})::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)
+), m AS (
+  SELECT doc_id, floor(sum(n * gain) / sum(n))::BIGINT AS weight FROM dw JOIN b USING (word) JOIN g USING (bucket) GROUP BY doc_id
+), x AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN m USING (doc_id)
+), k AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM x WHERE n_features >= {importance.LEAST_WORDS}
+)
+SELECT x.doc_id, n_features, weight, score, CASE WHEN k <= n * {importance.PERCENT} // 100 THEN k END AS rank FROM x LEFT JOIN k USING (doc_id)
+"""
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minhash_neardup, op2_toxicity, op3_ogg_media, op4_mixing, op5_exact_dedup, op6_chat_rotation, op7_quality, op8_bpe, op9_licenses, op10_secrets)
+    for f in (op1_minhash_neardup, op2_toxicity, op3_ogg_media, op4_mixing, op5_exact_dedup, op6_chat_rotation, op7_quality, op8_bpe, op9_licenses, op10_secrets, op11_spelling, op13_importance)
 }
-SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL, "op9_licenses": OP9_SQL, "op10_secrets": OP10_SQL}
+SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL, "op9_licenses": OP9_SQL, "op10_secrets": OP10_SQL, "op11_spelling": OP11_SQL, "op13_importance": OP13_SQL}

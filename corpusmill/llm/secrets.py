@@ -25,7 +25,7 @@ CLASSES = (
     ("entropy_base64", r"[0-9A-Za-z+/_=-]{20,}", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-", False, 3.7),
 )
 #: Candidates that match one of these are no secrets: words, numbers, dashed or slashed words, published examples, alphabets.
-ALLOWED = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[A-Za-z]*([/_=-]+[A-Za-z]*)*$", r"EXAMPLE|example", r"0123456789|abcdefghij|ABCDEFGHIJ", r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
+ALLOWED = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[A-Za-z/_=-]*$", r"EXAMPLE|example", r"0123456789|abcdefghij|ABCDEFGHIJ", r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
 KINDS = ("assign", "access", "hex", *(c[0] for c in CLASSES))
 _SPAN = "array<struct<start:bigint,kind_no:int,stop:bigint>>"
 

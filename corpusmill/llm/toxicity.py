@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_rows, map_rows, whole_text
+from .common import filter_rows, map_rows, row_key, whole_text
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
@@ -161,16 +161,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, ro
     """Up to ``rows`` texts of label 0 and of label 1, of at most ``chars`` code points (and ``lines`` lines) each, in an order fixed by a hash; no held-out rows; and the
     share of label 1 among all labelled rows that are not held out.
 
-    ``held_out``: Column to Column, over the doc_id. Bounded by sum(rows) * chars code points on the driver.
+    ``held_out``: Column to Column, over the doc_id. A row that repeats id and text counts once; an id with several texts gives a
+    row each. Bounded by sum(rows) * chars code points on the driver (twice that where rows have both labels).
     """
     own = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)").distinct()
     fits = docs.select("doc_id", "text").where(f"length(text) <= {chars}")
     if lines is not None:
         fits = fits.where(F.length("text") - F.length(F.translate("text", "\n", "")) < lines)
-    known = fits.select("doc_id", F.length("text").alias("n")).join(own, "doc_id").withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
-    picked = [known.where(f"label = {k}").orderBy("h", "doc_id").select("doc_id", "label").limit(rows[k]) for k in (0, 1)]
-    chosen = picked[0].union(picked[1])
-    got = fits.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").select("text", "label").collect()
+    keyed = fits.join(own, "doc_id").select("text", "label", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), row_key("doc_id", "text").alias("k"))
+    picked = [keyed.where(f"label = {k}").select("h", "k").distinct().orderBy("h", "k").limit(rows[k]) for k in (0, 1)]
+    chosen = picked[0].union(picked[1]).distinct()  # a row for each id and text, however often they repeat
+    got = keyed.join(F.broadcast(chosen), ["h", "k"]).groupBy("h", "k", "label").agg(F.first("text").alias("text")).orderBy("k", "label").select("text", "label").collect()
     share = own.agg(F.avg("label")).first()[0]
     return [r[0] for r in got], [r[1] for r in got], 0.5 if share is None else float(share)
 

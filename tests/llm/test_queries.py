@@ -17,7 +17,7 @@ def as_text(rows, columns):
 def test_query_agrees_with_its_sql(spark, name):
     got = entry.queries()[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels"):
+    for t in ("documents", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in want.description]
