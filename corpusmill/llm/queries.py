@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, importance, licenses, media, mixing, neardup, quality, secrets, spelling, toxicity
+from . import bpe, chat, exact_dedup, importance, licenses, media, mixing, neardup, quality, repeats, secrets, spelling, toxicity
 from .common import documents
 
 
@@ -157,6 +157,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -198,6 +202,29 @@ WITH RECURSIVE {_CRC_TABLE}, r AS (
 SELECT f.word, form, root, n, n_near, form_n FROM f JOIN e USING (word)
 """
 
+#: Every string of 100 bytes, in hexadecimal; the first of each stays, and the bytes that the others cover go.
+OP12_SQL = f"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, p, md5(substr(x, 2 * p + 1, {2 * repeats.LENGTH})) AS s FROM (SELECT doc_id, x, unnest(range(0, n - {repeats.LENGTH - 1})) AS p FROM d)
+), r AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w) WHERE k > 1
+), e AS (
+  SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM r
+), g AS (
+  SELECT doc_id, p, count(*) FILTER (gap IS NULL OR gap > {repeats.LENGTH}) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM e
+), s AS (
+  SELECT doc_id, run, min(p) AS a, max(p) + {repeats.LENGTH} AS b FROM g GROUP BY doc_id, run
+), k AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM s
+  UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+), t AS (
+  SELECT d.doc_id, any_value(n) AS n, sum(b - a)::BIGINT AS kept, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS y FROM d JOIN k USING (doc_id) GROUP BY d.doc_id
+)
+SELECT t.doc_id, n AS n_bytes, n - kept AS n_removed, coalesce(c, 0) AS n_spans, sha256(unhex(y)) AS kept_sha256 FROM t LEFT JOIN (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id) USING (doc_id)
+"""
+
 OP13_SQL = rf"""
 WITH {_CRC_TABLE}, d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{importance.WORD}') AS w FROM documents
@@ -226,6 +253,6 @@ SELECT x.doc_id, n_features, weight, score, CASE WHEN k <= n * {importance.PERCE
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minhash_neardup, op2_toxicity, op3_ogg_media, op4_mixing, op5_exact_dedup, op6_chat_rotation, op7_quality, op8_bpe, op9_licenses, op10_secrets, op11_spelling, op13_importance)
+    for f in (op1_minhash_neardup, op2_toxicity, op3_ogg_media, op4_mixing, op5_exact_dedup, op6_chat_rotation, op7_quality, op8_bpe, op9_licenses, op10_secrets, op11_spelling, op12_repeats, op13_importance)
 }
-SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL, "op9_licenses": OP9_SQL, "op10_secrets": OP10_SQL, "op11_spelling": OP11_SQL, "op13_importance": OP13_SQL}
+SQL = {"op1_minhash_neardup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_chat_rotation": OP6_SQL, "op9_licenses": OP9_SQL, "op10_secrets": OP10_SQL, "op11_spelling": OP11_SQL, "op12_repeats": OP12_SQL, "op13_importance": OP13_SQL}
