@@ -15,8 +15,8 @@ suffixes: its neighbours in sorted order decide, up to ``LENGTH`` bytes. The ste
 
 Texts are packed into blocks, written once as a table bucketed by block; each level reads it where it lies, and only names are
 shuffled. A block sends a name once, however often it has it, and gets back one bit a name. So a passage that all texts share
-is one row a block in its bucket. Names of pieces and suffixes have 96 bits and stand for their bytes; those of sampled tuples are
-shorter, as a false meeting there costs work only.
+is one row a block in its bucket. Names of pieces and suffixes have 80 to 96 bits, by the size of the corpus, and stand for their
+bytes; those of sampled tuples are shorter, as a false meeting there costs work only.
 """
 
 from __future__ import annotations
@@ -38,14 +38,15 @@ LENGTH = 100
 #: A perfect difference set.
 MODULUS, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 TUPLE = LENGTH - MODULUS + 1
-#: Pieces end where the checksum of GRAM bytes is the least within REACH bytes on both sides, so they are longer than LENGTH.
+#: Pieces end where the checksum of GRAM bytes is low and the least within REACH bytes on both sides, so they are longer than LENGTH.
 GRAM, REACH = 16, 128
 #: Bytes of text in a block.
 BLOCK = (2 << 20, 8 << 20)
 PIECES, SAMPLES, SUFFIXES = 1, 2, 3
 _SEGMENT = 1 << 19
+_STATE = -1
 _NAMED = "bucket int, block int, k1 binary, k2 binary, counts binary, hi binary, lo binary"
-_TOLD = "block int, level int, bucket int, bits binary"
+_TOLD = "block int, bucket int, bits binary"
 
 
 class _Roller:
@@ -94,32 +95,32 @@ def _spread(starts: np.ndarray, stops: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _new(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    """Where a sorted list of names has another name than before."""
-    new = np.ones(len(hi), bool)
-    new[1:] = (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])
-    return new
-
-
-def _firsts(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries are the first of their name, and how often each entry's name occurs."""
-    order = np.lexsort((lo, hi))
-    new = _new(hi[order], lo[order])
-    group = np.cumsum(new) - 1
-    first, n = np.zeros(len(order), bool), np.empty(len(order), np.int64)
+def _groups(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries are the first of their name, and the number of each entry's name."""
+    order = np.argsort(hi, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = hi[order[1:]] != hi[order[:-1]]
+    if (lo[order[1:]] != lo[order[:-1]])[~new[1:]].any():  # names that share their first half
+        order = np.lexsort((lo, hi))
+        new[1:] = (hi[order[1:]] != hi[order[:-1]]) | (lo[order[1:]] != lo[order[:-1]])
+    first, group = np.zeros(len(order), bool), np.empty(len(order), np.int64)
     first[order[new]] = True
-    n[order] = np.bincount(group)[group] if len(order) else 0
-    return first, n
+    group[order] = np.cumsum(new) - 1
+    return first, group
 
 
-def _least_within(h: np.ndarray, reach: int) -> np.ndarray:
-    """The least of h[i : i + reach], entries beyond the end counting as the greatest."""
-    m, span = h.copy(), 1
-    while span < reach:
-        step = min(span, reach - span)
-        m[:-step] = np.minimum(m[:-step], m[step:])
-        span += step
-    return m
+def _ends(at: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Of the sorted places ``at``, those whose ``h`` is the least within REACH, and less than any before it there."""
+    keep, k = np.ones(len(at), bool), 1
+    while k < len(at):
+        close = np.flatnonzero(at[k:] - at[:-k] <= REACH)
+        if not len(close):
+            break
+        less = h[close] <= h[close + k]
+        keep[(close + k)[less]] = False
+        keep[close[~less]] = False
+        k += 1
+    return at[keep]
 
 
 class Block:
@@ -148,14 +149,11 @@ class Block:
 
     def pieces(self) -> tuple:
         """(start, stop, hi, lo) of pieces and pairs of pieces."""
-        n = len(self.text)
         inside = np.flatnonzero(self.left >= GRAM)
-        h = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-        h[inside] = _roller(0)(self.text, inside, GRAM)
-        after = _least_within(np.append(h[1:], h[-1:]) if n else h, REACH)
-        before = _least_within(h[::-1], REACH)[::-1]  # of the REACH entries up to this one
-        ends = inside[(h[inside] <= after[inside]) & (h[inside] < np.append(np.iinfo(np.uint64).max, before[:-1])[inside])] + GRAM
-        starts, stops, names = [], [], []
+        h = _roller(0)(self.text, inside, GRAM)
+        low = h < np.uint64(1 << 58)
+        ends = _ends(inside[low], h[low]) + GRAM
+        starts, stops = [], []
         raw = self.text.tobytes()
         cuts = np.unique(np.concatenate([self.at, ends]))
         doc = np.searchsorted(self.at, cuts, side="right")
@@ -169,7 +167,7 @@ class Block:
         starts, stops = starts[order], stops[order]
         names = b"".join(hashlib.blake2b(raw[a:b], digest_size=12).digest() for a, b in zip(starts.tolist(), stops.tolist(), strict=True))
         both = np.frombuffer(names, np.uint8).reshape(-1, 12)
-        return starts, stops, np.ascontiguousarray(both[:, :8]).view(np.uint64).ravel(), np.ascontiguousarray(both[:, 8:]).view(np.uint32).ravel()
+        return starts, stops, np.ascontiguousarray(both[:, :8]).view(np.uint64).ravel(), np.ascontiguousarray(both[:, 4:]).view(np.uint64).ravel() & ~np.uint64((1 << 32) - 1)
 
     def samples(self) -> tuple:
         """(position, hi, lo) of the sampled tuples of open suffixes."""
@@ -181,41 +179,42 @@ class Block:
         count = np.concatenate([[0], np.cumsum(self.open, dtype=np.int32)])
         at = np.flatnonzero(sampled & (self.left >= TUPLE))
         at = at[count[at + 1] > count[np.maximum(at - MODULUS + 1, 0)]]
-        return at, _roller(0)(self.text, at, TUPLE), np.zeros(len(at), np.uint32)
+        return at, _roller(0)(self.text, at, TUPLE), np.zeros(len(at), np.uint64)
 
     def suffixes(self) -> tuple:
         at = np.flatnonzero(self.open)
-        return at, _roller(0)(self.text, at, LENGTH), (_roller(1)(self.text, at, LENGTH) >> np.uint64(32)).astype(np.uint32)
+        return at, _roller(0)(self.text, at, LENGTH), _roller(1)(self.text, at, LENGTH)
 
     def settle(self, level: int, told: dict[int, bytes] | None) -> list[tuple] | None:
         """Without ``told`` the rows to send: this block's names, each once, by bucket. With it, what they say is taken in."""
         found = self.pieces() if level == PIECES else self.samples() if level == SAMPLES else self.suffixes()
         at, hi, lo = found[0], found[-2], found[-1]
-        first, n = _firsts(hi, lo)
+        first, group = _groups(hi, lo)
         sent = np.flatnonzero(first)
         bucket = (hi[sent] % np.uint64(self.n_buckets)).astype(np.int32)
         order = sent[np.argsort(bucket, kind="stable")]
         sizes = np.bincount(bucket, minlength=self.n_buckets)
         stops = np.cumsum(sizes)
         if told is None:
-            out, doc = [], np.searchsorted(self.at, at, side="right") - 1
+            out, doc = [], np.searchsorted(self.at, at[order], side="right") - 1
             for b in np.flatnonzero(sizes).tolist():
-                mine = order[stops[b] - sizes[b] : stops[b]]
-                docs, counts = np.unique(doc[mine], return_counts=True)
-                out.append((b, self.k1[docs].tobytes(), self.k2[docs].tobytes(), counts.astype(np.uint32).tobytes(), hi[mine], lo[mine].tobytes() if level != SAMPLES else b""))
+                mine = slice(stops[b] - sizes[b], stops[b])
+                head = (b"", b"", b"")
+                if level != SAMPLES:
+                    begin = np.flatnonzero(np.diff(doc[mine], prepend=-1))
+                    docs, counts = doc[mine][begin], np.diff(begin, append=sizes[b])
+                    head = (self.k1[docs].tobytes(), self.k2[docs].tobytes(), counts.astype(np.uint32).tobytes())
+                out.append((b, *head, hi[order[mine]], lo[order[mine]]))
             return out
         bits = np.zeros(len(at), bool)
         for b in np.flatnonzero(sizes).tolist():
             bits[order[stops[b] - sizes[b] : stops[b]]] = np.unpackbits(np.frombuffer(told[b], np.uint8), count=sizes[b])
         if level == SAMPLES:
-            group = np.empty(len(at), np.int64)
-            by = np.lexsort((lo, hi))
-            group[by] = np.cumsum(_new(hi[by], lo[by]))
-            meets = np.zeros(len(at) + 2, bool)
+            meets = np.bincount(group, minlength=1) > 1
             meets[group[bits]] = True
             flagged = np.zeros(len(self.text) + 1, np.int32)
-            flagged[at[(n > 1) | meets[group]] + 1] = 1
-            count = np.cumsum(flagged)
+            flagged[at[meets[group]] + 1] = 1
+            count = np.cumsum(flagged, dtype=np.int32)
             start = np.flatnonzero(self.open)
             self.open[start] = count[np.minimum(start + MODULUS, len(self.text))] > count[start]
             return None
@@ -227,6 +226,14 @@ class Block:
         self.open &= ~self.repeat
         return None
 
+    def state(self) -> bytes:
+        """What is settled so far."""
+        return zstandard.ZstdCompressor(1).compress(np.packbits(np.stack([self.open, self.repeat])).tobytes())
+
+    def resume(self, state: bytes) -> None:
+        both = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(state), np.uint8), count=2 * len(self.text)).astype(bool)
+        self.open, self.repeat = both[: len(self.text)].copy(), both[len(self.text) :].copy()
+
     def results(self) -> Iterator[tuple]:
         """sha, doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each text."""
         count = np.concatenate([[0], np.cumsum(self.repeat, dtype=np.int32)])
@@ -237,43 +244,51 @@ class Block:
             yield self.shas[k], self.ids[k], b - a, int(g.sum()), spans, hashlib.sha256(self.text[a:b][~g].tobytes()).hexdigest()
 
 
-def _read(texts: pa.Table, told: pa.Table, n_buckets: int, levels: tuple[int, ...]) -> Block:
+def _read(texts: pa.Table, told: pa.Table, n_buckets: int, level: int) -> Block:
+    """A block as it is after a level (0: none), from that level's answers and the state that went with its names."""
     block = Block(list(zip(*(texts.column(c).to_pylist() for c in ("doc_id", "sha", "data")), strict=True)), n_buckets)
-    said: dict[int, dict[int, bytes]] = {level: {} for level in levels}
-    for level, bucket, bits in zip(*(told.column(c).to_pylist() for c in ("level", "bucket", "bits")), strict=True):
-        said[level][bucket] = bits
-    for level in levels:
-        block.settle(level, said[level])
+    said = dict(zip(told.column("bucket").to_pylist(), told.column("bits").to_pylist(), strict=True))
+    if _STATE in said:
+        block.resume(said.pop(_STATE))
+    if level:
+        block.settle(level, said)
     return block
 
 
-def _told(table: pa.Table, level: int, width: int) -> list[tuple]:
+def _told(table: pa.Table, level: int, width: tuple[int, int]) -> list[tuple]:
     """A bucket's names, sorted: a bit for each, set if an earlier text has it (or, of samples, if it occurs again)."""
     columns = {c: table.column(c).to_pylist() for c in ("block", "k1", "k2", "counts", "hi", "lo")}
-    counts = [np.frombuffer(c, np.uint32) for c in columns["counts"]]
-    sizes = [int(c.sum()) for c in counts]
-    raw = np.frombuffer(b"".join(columns["hi"]), np.uint8).reshape(-1, width)
-    hi = np.zeros((len(raw), 8), np.uint8)
-    hi[:, :width] = raw
-    hi = hi.view(np.uint64).ravel()
+    sizes = [len(x) // width[0] for x in columns["hi"]]
+    hi, lo = (_number(b"".join(columns[c]), w) for c, w in zip(("hi", "lo"), width, strict=True))
     bits = np.zeros(len(hi), bool)
     if level == SAMPLES:
         order = np.argsort(hi)
         same = hi[order[1:]] == hi[order[:-1]]
         bits[order[1:][same]] = bits[order[:-1][same]] = True
     else:
-        lo = np.frombuffer(b"".join(columns["lo"]), np.uint32)
         k1, k2 = (np.frombuffer(b"".join(columns[k]), np.uint64) for k in ("k1", "k2"))
-        rank = np.empty(len(k1), np.int64)
-        rank[np.lexsort((k2, k1))] = np.arange(len(k1))
-        order = np.lexsort((np.repeat(rank, np.concatenate(counts)), lo, hi))
+        rank = np.empty(len(k1), np.uint32)
+        rank[np.lexsort((k2, k1) if len(k2) else (k1,))] = np.arange(len(k1))
+        order = np.lexsort((np.repeat(rank, np.frombuffer(b"".join(columns["counts"]), np.uint32)), lo, hi))
         same = (hi[order[1:]] == hi[order[:-1]]) & (lo[order[1:]] == lo[order[:-1]])
         bits[order[1:][same]] = True
     at = np.concatenate([[0], np.cumsum(sizes)])
     return [(b, np.packbits(bits[at[k] : at[k + 1]]).tobytes()) for k, b in enumerate(columns["block"])]
 
 
-def _table(rows: list[tuple], schema: str, spark) -> pa.Table:
+def _bytes(x: np.ndarray, width: int) -> bytes:
+    """The last ``width`` bytes of numbers of eight."""
+    return np.ascontiguousarray(x.astype(np.uint64, copy=False).view(np.uint8).reshape(-1, 8)[:, 8 - width :]).tobytes()
+
+
+def _number(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width if width else 0, 8), np.uint8)
+    if width:
+        out[:, 8 - width :] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
+def _table(rows: list[tuple], schema) -> pa.Table:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
@@ -303,19 +318,24 @@ def _packed(docs: DataFrame, doc_id: str, text: str, n_blocks: int) -> DataFrame
     return docs.select(F.col(doc_id).cast("long"), whole_text(text)).mapInArrow(run, "block int, doc_id long, sha binary, data binary")
 
 
-def _level(texts: DataFrame, told: DataFrame, level: int, n_buckets: int, width: int) -> DataFrame:
-    """One level: names to buckets, bits back. ``told``: the bits of the levels before it."""
-    spark, before = texts.sparkSession, tuple(range(1, level))
+def _level(texts: DataFrame, told: DataFrame, level: int, n_buckets: int, width: tuple[int, int], ties: bool) -> DataFrame:
+    """One level: names to buckets, bits back. ``told``: the answers of the level before it. What that has settled travels with
+    the names, and comes back with their answers."""
+    spark = texts.sparkSession
     named, answered = (spark.createDataFrame([], s).schema for s in (_NAMED, _TOLD))
 
     def send(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return _table([], named, None)
-        rows = _read(left, right, n_buckets, before).settle(level, None)
-        return _table([(b, key[0].as_py(), k1, k2, c, np.ascontiguousarray(hi.view(np.uint8).reshape(-1, 8)[:, 8 - width :]).tobytes(), lo) for b, k1, k2, c, hi, lo in rows], named, None)
+            return _table([], named)
+        block, no = _read(left, right, n_buckets, level - 1), key[0].as_py()
+        rows = [(b, no, k1, k2 if ties else b"", c, _bytes(hi, width[0]), _bytes(lo, width[1])) for b, k1, k2, c, hi, lo in block.settle(level, None)]
+        return _table([*rows, (n_buckets + no % n_buckets, no, b"", b"", b"", block.state(), b"")], named)
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
-        return _table([(block, level, key[0].as_py(), bits) for block, bits in _told(table, level, width)], answered, None)
+        bucket = key[0].as_py()
+        if bucket >= n_buckets:
+            return _table([(no, _STATE, state) for no, state in zip(table.column("block").to_pylist(), table.column("hi").to_pylist(), strict=True)], answered)
+        return _table([(no, bucket, bits) for no, bits in _told(table, level, width)], answered)
 
     sent = texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(send, named)
     return cut(sent.groupBy("bucket").applyInArrow(answer, answered))
@@ -339,25 +359,27 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     total = ids.agg(F.sum("n_bytes")).first()[0] or 0
     size = min(max(total >> 12, BLOCK[0]), BLOCK[1])
     parts = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (64 << 20)))  # buckets of a table have a limit
-    n_blocks, n_buckets = max(parts, total // size), max(parts, total // (16 * size))
-    width = min(8, max(3, ceil((log2(total / 7 + 1) + 8) / 8)))
+    n_blocks, n_buckets = max(parts, total // size), max(min(parts, 16), total // (16 * size))
+    bits = log2(total + 2)
+    sample = min(8, max(3, ceil((bits - 3 + 8) / 8)))  # a false meeting for one sample in hundreds
+    whole = min(12, max(10, ceil((2 * bits + 20) / 8)))  # one false meeting in a million corpora
+    ties = not ids.groupBy("doc_id").count().where("count > 1").isEmpty()  # else ids alone order the texts
     name, path = f"repeats_{uuid4().hex}", f"{checkpoint_dir(spark)}/repeats-{uuid4().hex}"
     _packed(docs, doc_id, text, n_blocks).repartition(parts, "block").write.bucketBy(parts, "block").option("path", path).format("parquet").saveAsTable(name)
     texts = spark.table(name)
     told = spark.createDataFrame([], _TOLD)
-    levels = []
     for level in (PIECES, SAMPLES, SUFFIXES):
-        levels.append(_level(texts, told, level, n_buckets, width if level == SAMPLES else 8))
-        told = levels[-1] if level == PIECES else told.union(levels[-1])
+        before, told = told, _level(texts, told, level, n_buckets, (sample, 0) if level == SAMPLES else (8, whole - 8), ties)
+        release(before)
     out_type = spark.createDataFrame([], "sha binary, first_id long, n_removed long, n_spans long, kept_sha256 string").schema
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return _table([], out_type, None)
-        return _table([(s, i, removed, spans, kept) for s, i, _, removed, spans, kept in _read(left, right, n_buckets, (PIECES, SAMPLES, SUFFIXES)).results()], out_type, None)
+            return _table([], out_type)
+        return _table([(s, i, removed, spans, kept) for s, i, _, removed, spans, kept in _read(left, right, n_buckets, SUFFIXES).results()], out_type)
 
     done = cut(texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(finish, out_type).withColumn("sha", F.lower(F.hex("sha"))))
-    release(*levels)
+    release(told)
     spark.sql(f"DROP TABLE {name}")
     remove(spark, path)
     copy = ids.join(done, "sha", "left").select(
