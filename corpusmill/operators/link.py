@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import identity_words, ngrams
+from ..lineage import cut
 
 
 def gram_candidates(old: DataFrame, new: DataFrame, n: int = 8, stride: int = 4, top: int = 8) -> DataFrame:
@@ -137,6 +138,67 @@ def locate(queries: DataFrame, blocks: DataFrame, least: int = 8, margin: float
     return ranked.select("query_id", "block_id", "shared", F.col("s").alias("s1"), "s2", ((F.col("shared") >= least) & (F.col("s") >= margin * F.col("s2"))).alias("accepted"))
 
 
+def _rounds(scored: DataFrame) -> DataFrame:
+    """(query_id, best, s2, rest): the best block of each query, and the best score of a block with another answer, source or
+    number. Scored rows: query_id, block_id, s, shared, answer, source, number."""
+    best = F.max_by(F.struct("block_id", "s", "shared", "answer", "source", "number"), F.struct("s", (-F.col("block_id")).alias("r")))
+    top = scored.groupBy("query_id").agg(best.alias("best"))
+    other = ~(F.col("answer").eqNullSafe(F.col("best.answer")) & F.col("source").eqNullSafe(F.col("best.source")) & F.col("number").eqNullSafe(F.col("best.number")))
+    second = scored.join(top, "query_id").where(other).groupBy("query_id").agg(F.max("s").alias("s2"))
+    return top.join(second, "query_id", "left")
+
+
+def locate_in_pools(queries: DataFrame, blocks: DataFrame, least: int = 8, margin: float = 1.6, rare: int = 32) -> DataFrame:
+    """(query_id, block_id, shared, s1, s2, outcome): the block of a query's own folder with the largest sum of idf over shared words.
+
+    ``queries``: id, folder, number, words (distinct), options (map of letter to distinct words; may be null); ``blocks``: id,
+    folder, source, number, answer, words, and told (letter and words of the explanation that is marked as true; may be null).
+    idf is ln(N / (1 + df)) within the folder, in millionths. s2 is the best score of a block with another answer, source or
+    number, 0 without one. outcome: ``accepted``, or the first of ``few words``, ``close second``, ``other number`` and ``other
+    option`` (the explanation is of another letter than the answer, or shares most words with another option) that says no.
+
+    Exact, without joining common words in full: candidates share a word that at most ``rare`` blocks of the folder hold, and are
+    scored on all words. Any other block scores no more than the query's common words together. Where that bound is below the
+    second score found (or none was found), all blocks that share a word are scored, for those queries alone. Queries that share no word have no row.
+    """
+    w = blocks.select("folder", F.col("id").alias("block_id"), F.explode("words").alias("w"))
+    n = blocks.groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
+    df = w.groupBy("folder", "w").agg(F.count(F.lit(1)).alias("df")).join(n, "folder")
+    idf = df.select("folder", "w", "df", F.round(F.log(F.col("n").cast("double") / (1 + F.col("df"))) * 1e6).cast("long").alias("idf"))
+    q = queries.select("folder", F.col("id").alias("query_id"), F.explode("words").alias("w")).join(idf, ["folder", "w"])
+    q = cut(q)
+    bound = q.groupBy("query_id").agg(F.sum(F.when((F.col("df") > rare) & (F.col("idf") > 0), F.col("idf")).otherwise(0)).alias("bound"))
+    of_block = blocks.select("folder", F.col("id").alias("block_id"), "answer", "source", "number")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        """Pairs on all their words: the words of the few blocks named, not of all that hold a common one."""
+        own = pairs.join(q, ["folder", "query_id"])
+        hits = own.join(w, ["folder", "block_id", "w"]).groupBy("folder", "query_id", "block_id").agg(F.sum("idf").alias("s"), F.count(F.lit(1)).alias("shared"))
+        return hits.join(of_block, ["folder", "block_id"]).select("query_id", "block_id", "s", "shared", "answer", "source", "number")
+
+    near = q.where(F.col("df") <= rare).join(w, ["folder", "w"]).select("folder", "query_id", "block_id").distinct()
+    first = cut(_rounds(scored(near)).join(bound, "query_id", "right"))
+    settled = F.coalesce((F.col("bound") < F.col("s2")) & (F.col("bound") < F.col("best.s")), F.lit(False))
+    open_ = q.join(first.where(~settled).select("query_id"), "query_id", "left_semi")
+    all_ = open_.join(w, ["folder", "w"]).groupBy("folder", "query_id", "block_id").agg(F.sum("idf").alias("s"), F.count(F.lit(1)).alias("shared"))
+    rest = _rounds(all_.join(of_block, ["folder", "block_id"]).select("query_id", "block_id", "s", "shared", "answer", "source", "number"))
+    found = first.where(settled).select("query_id", "best", "s2").unionByName(rest)
+    x = found.select("query_id", "best.*", F.coalesce("s2", F.lit(0)).alias("s2"))
+    x = x.join(queries.select(F.col("id").alias("query_id"), F.col("number").alias("asked"), "options"), "query_id").join(blocks.select(F.col("id").alias("block_id"), "told"), "block_id")
+    like = F.transform(F.map_entries("options"), lambda o: F.struct(F.size(F.array_intersect(o["value"], F.col("told.words"))).alias("n"), o["key"].alias("letter")))
+    most = F.array_max(F.transform(like, lambda o: o["n"]))
+    leads = F.get(F.filter(F.sort_array(like), lambda o: o["n"] == most), F.lit(0))
+    other = F.col("told").isNotNull() & ((F.col("told.letter") != F.col("answer")) | ((most > 0) & (leads["letter"] != F.col("told.letter"))))
+    outcome = (
+        F.when(F.col("shared") < least, "few words")
+        .when(F.col("s") < margin * F.col("s2"), "close second")
+        .when(~F.coalesce(F.col("number") == F.col("asked"), F.lit(False)), "other number")
+        .when(F.coalesce(other, F.lit(False)), "other option")
+        .otherwise("accepted")
+    )
+    return x.select("query_id", "block_id", "shared", F.col("s").alias("s1"), "s2", outcome.alias("outcome"))
+
+
 def with_fallback(own: DataFrame, others: DataFrame, least_own: float = 0.5, least_other: float = 0.8) -> DataFrame:
     """(id, key_id): the key paired with each record, or, where that covers under ``least_own``, the key of the same folder with
     the largest coverage of ``least_other`` or more. ``own`` (id, folder, coverage), ``others`` (id, folder, key_id, coverage)."""

@@ -184,7 +184,6 @@ def overlap_check(read):
 WITH {_GRAMS} SELECT old_id AS item_id, new_id AS doc_id, round(len(list_intersect(x, y)) / greatest(1, len(x)), 6) AS contained FROM tri WHERE len(list_intersect(x, y)) >= 0.6 * len(x)
 """)
 def contamination(read):
-    """Benchmark items of whose trigrams a document holds 60 % or more."""
     """Benchmark items of whose trigrams a document holds 60 % or more."""
     return L.contained_items(*_old_new(read)).select(F.col("old_id").alias("item_id"), F.col("new_id").alias("doc_id"), F.round("contained", 6).alias("contained"))
 
@@ -202,6 +201,29 @@ def idf_locator(read):
     return L.locate(distinct(old), distinct(new))
 
 
+@query(f"""
+WITH d AS (SELECT doc_id AS id, doc_id % 4 AS folder, source, doc_id % 10 AS number, chr(65 + (doc_id % 2)::INT) AS answer, list_sort(list_distinct({_WORDS})) AS w FROM documents),
+b AS (SELECT id, folder, unnest(w) AS w FROM d), n AS (SELECT folder, count(*)::DOUBLE AS n FROM d GROUP BY folder),
+i AS (SELECT folder, w, round(ln(n / (1 + count(*))) * 1e6)::BIGINT AS idf FROM b JOIN n USING (folder) GROUP BY folder, w, n),
+h AS (SELECT q.id AS query_id, b.id AS block_id, sum(idf)::BIGINT AS s, count(*) AS shared FROM b q JOIN b USING (folder, w) JOIN i USING (folder, w) WHERE q.id % 100 = 0 GROUP BY ALL),
+t AS (SELECT query_id, arg_max(block_id, (s, -block_id)) AS block_id FROM h GROUP BY query_id),
+s2 AS (SELECT h.query_id, max(h.s) AS s2 FROM h JOIN t USING (query_id) JOIN d x ON x.id = h.block_id JOIN d y ON y.id = t.block_id WHERE (x.answer, x.source, x.number) <> (y.answer, y.source, y.number) GROUP BY h.query_id),
+f AS (SELECT h.*, coalesce(s2, 0) AS s2, y.answer, y.number, CASE WHEN y.id % 2 = 0 THEN chr(65 + (y.id // 2 % 2)::INT) END AS letter, len(list_intersect(q.w[1:10], y.w[1:6])) AS a, len(list_intersect(q.w[4:9], y.w[1:6])) AS c, CASE WHEN q.id % 300 = 0 THEN 99 ELSE q.number END AS asked
+  FROM h JOIN t USING (query_id, block_id) LEFT JOIN s2 USING (query_id) JOIN d q ON q.id = query_id JOIN d y ON y.id = block_id)
+SELECT query_id, block_id, shared, s AS s1, s2, CASE WHEN shared < 8 THEN 'few words' WHEN s < 1.6 * s2 THEN 'close second' WHEN number <> asked THEN 'other number'
+  WHEN letter IS NOT NULL AND (letter <> answer OR greatest(a, c) > 0 AND CASE WHEN a >= c THEN 'A' ELSE 'B' END <> letter) THEN 'other option' ELSE 'accepted' END AS outcome FROM f
+""")
+def pooled_locator(read):
+    k = F.col("id")
+    d = L.words_of(read("documents"), "doc_id", "text").select("id", F.array_sort(F.array_distinct("words")).alias("words"))
+    d = d.join(read("documents").select(F.col("doc_id").alias("id"), "source"), "id").withColumn("folder", k % 4)
+    told = F.when(k % 2 == 0, F.struct(F.chr(65 + F.floor(k / 2) % 2).alias("letter"), F.slice("words", 1, 6).alias("words")))
+    blocks = d.select("id", "folder", "source", (k % 10).alias("number"), F.chr(65 + k % 2).alias("answer"), "words", told.alias("told"))
+    options = F.create_map(F.lit("A"), F.slice("words", 1, 10), F.lit("B"), F.slice("words", 4, 6))
+    queries = d.where("id % 100 = 0").select("id", "folder", F.when(k % 300 == 0, 99).otherwise(k % 10).alias("number"), "words", options.alias("options"))
+    return L.locate_in_pools(queries, blocks)
+
+
 @query("""
 WITH RECURSIVE e AS (SELECT c_custkey AS a, c_custkey - c_custkey % 4 AS b, 'block' AS label FROM customer WHERE c_custkey % 4 > 0 UNION ALL SELECT c_custkey, c_custkey + 4, 'next' FROM customer WHERE c_custkey % 12 = 0),
 s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS c FROM s UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.node), c AS (SELECT node, min(c) AS component FROM r GROUP BY node),

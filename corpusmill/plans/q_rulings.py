@@ -64,7 +64,8 @@ def underlined_words(read):
 
 @query("""
 WITH b AS (SELECT vec_id AS id, array_to_string(list_transform(range(0, 576), lambda i: CASE WHEN embedding[i % 64 + 1] > embedding[(i * 7 + i // 64 + 1) % 64 + 1] THEN '1' ELSE '0' END), '') AS bits, 1 + label % 3 * 0.3 AS aspect, label FROM embeddings),
-h AS (SELECT q.id, k.id AS known, k.label, hamming(q.bits, k.bits) AS d FROM b q JOIN b k ON q.id % 100 = 0 AND k.id % 100 <> 0 AND abs(ln(q.aspect) - ln(k.aspect)) <= 0.35 WHERE hamming(q.bits, k.bits) <= 57)
+q AS (SELECT id, array_to_string(list_transform(range(0, 576), lambda i: CASE WHEN (i + id) % (9 + (id // 100) % 6) = 0 THEN translate(bits[i + 1], '01', '10') ELSE bits[i + 1] END), '') AS bits, aspect FROM b WHERE id % 100 = 0),
+h AS (SELECT q.id, k.id AS known, k.label, hamming(q.bits, k.bits) AS d FROM q JOIN b k ON abs(ln(q.aspect) - ln(k.aspect)) <= 0.35 WHERE hamming(q.bits, k.bits) <= 57)
 SELECT b.id, first(known ORDER BY d, known) AS known, first(chr(65 + h.label::INT) ORDER BY d, known) AS char, min(d) AS distance FROM b LEFT JOIN h USING (id) WHERE b.id % 100 = 0 GROUP BY b.id
 """)
 def nearest_glyph(read):
