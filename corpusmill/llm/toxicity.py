@@ -168,10 +168,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, ro
     fits = docs.select("doc_id", "text").where(f"length(text) <= {chars}")
     if lines is not None:
         fits = fits.where(F.length("text") - F.length(F.translate("text", "\n", "")) < lines)
-    keyed = fits.join(own, "doc_id").select("text", "label", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), row_key("doc_id", "text").alias("k"))
-    picked = [keyed.where(f"label = {k}").select("h", "k").distinct().orderBy("h", "k").limit(rows[k]) for k in (0, 1)]
-    chosen = picked[0].union(picked[1]).distinct()  # a row for each id and text, however often they repeat
-    got = keyed.join(F.broadcast(chosen), ["h", "k"]).groupBy("h", "k", "label").agg(F.first("text").alias("text")).orderBy("k", "label").select("text", "label").collect()
+    keyed = fits.select("doc_id", row_key("doc_id", "text").alias("k")).join(own, "doc_id").select("label", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "k")  # texts stay where they are
+    picked = [keyed.where(f"label = {k}").distinct().orderBy("h", "k").limit(rows[k]) for k in (0, 1)]
+    chosen = picked[0].union(picked[1])  # a row for each id, text and label, however often they repeat
+    met = fits.select(row_key("doc_id", "text").alias("k"), "text").join(F.broadcast(chosen), "k")
+    got = met.groupBy("k", "label").agg(F.first("text").alias("text")).orderBy("k", "label").select("text", "label").collect()
     share = own.agg(F.avg("label")).first()[0]
     return [r[0] for r in got], [r[1] for r in got], 0.5 if share is None else float(share)
 
