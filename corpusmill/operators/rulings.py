@@ -107,6 +107,7 @@ def underlined(words: DataFrame, rules: DataFrame, page: list[str]) -> DataFrame
     (fractions); and rules much longer than the words.
     """
     o = rules.select(*page, F.col("id").alias("rule"), *(F.col(c).cast("double").alias(f"o_{c}") for c in ("x0", "x1", "top", "bottom")))
+    one = [*page, "rule", "o_x0", "o_x1", "o_top", "o_bottom"]  # ids of rules may repeat on a page: a rule is told by its place, too
     thin = o.where((F.col("o_bottom") - F.col("o_top") <= 1.3) & (F.col("o_x1") - F.col("o_x0") >= 3))
     w = words.select(*page, "id", *(F.col(c).cast("double").alias(c) for c in ("x0", "x1", "top", "bottom")))
     strip = lambda c, ks, size: F.explode(F.array(*(F.floor(c / size) + k for k in ks)))
@@ -117,17 +118,17 @@ def underlined(words: DataFrame, rules: DataFrame, page: list[str]) -> DataFrame
     # an upright rule stands in the strips that it crosses, at the place of its sides
     spread = bars.withColumn("_s", F.explode(F.sequence(F.floor((F.col("v_top") - 1.5) / 16), F.floor((F.col("v_bottom") + 1.5) / 16))))
     ends = thin.withColumn("_s", F.floor(F.col("o_top") / 16)).join(spread, [*page, "_s"])
-    touched = ends.where(F.col("o_top").between(F.col("v_top") - 1.5, F.col("v_bottom") + 1.5) & ((F.abs(F.col("v_x0") - F.col("o_x0")) < 2) | (F.abs(F.col("v_x1") - F.col("o_x1")) < 2))).select(*page, "rule").distinct()
-    g = above.groupBy(*page, "rule", "o_x0", "o_x1", "o_top", "o_bottom").agg(F.max(F.col("o_top") - F.col("bottom")).alias("far"), F.min_by("top", "id").alias("line"), (F.max("x1") - F.min("x0")).alias("wide"))
-    g = g.where((F.col("far") <= 1.2) & (F.col("o_x1") - F.col("o_x0") <= 1.3 * F.col("wide") + 4)).join(touched, [*page, "rule"], "left_anti")
+    touched = ends.where(F.col("o_top").between(F.col("v_top") - 1.5, F.col("v_bottom") + 1.5) & ((F.abs(F.col("v_x0") - F.col("o_x0")) < 2) | (F.abs(F.col("v_x1") - F.col("o_x1")) < 2))).select(*one).distinct()
+    g = above.groupBy(*one).agg(F.max(F.col("o_top") - F.col("bottom")).alias("far"), F.min(F.struct("id", "top"))["top"].alias("line"), (F.max("x1") - F.min("x0")).alias("wide"))
+    g = g.where((F.col("far") <= 1.2) & (F.col("o_x1") - F.col("o_x0") <= 1.3 * F.col("wide") + 4)).join(touched, one, "left_anti")
     beside = g.withColumn("_s", strip(F.col("line"), (-1, 0, 1), 2)).join(w.withColumn("_s", F.floor(F.col("top") / 2)), [*page, "_s"])
-    beside = beside.where((F.abs(F.col("top") - F.col("line")) < 1.5) & ((F.col("x1") < F.col("o_x0") - 1) | (F.col("x0") > F.col("o_x1") + 1))).select(*page, "rule").distinct()
+    beside = beside.where((F.abs(F.col("top") - F.col("line")) < 1.5) & ((F.col("x1") < F.col("o_x0") - 1) | (F.col("x0") > F.col("o_x1") + 1))).select(*one).distinct()
     below = g.withColumn("_s", strip(F.col("o_bottom"), (-1, 0, 1), 8)).join(w.withColumn("_s", F.floor(F.col("top") / 8)), [*page, "_s"]).where((F.col("top") - F.col("o_bottom")).between(-1, 6.5))
     within = (F.col("x0") >= F.col("o_x0") - 2) & (F.col("x1") <= F.col("o_x1") + 2)
     reaches = ((F.col("x0") < F.col("o_x0") - 1) & (F.col("x1") > F.col("o_x0") - 1)) | ((F.col("x0") < F.col("o_x1") + 1) & (F.col("x1") > F.col("o_x1") + 1))
-    fractions = below.groupBy(*page, "rule").agg(F.bool_or(within).alias("i"), F.bool_or(reaches).alias("r")).where("i and not r").select(*page, "rule")
-    kept = g.join(beside, [*page, "rule"], "left_semi").join(fractions, [*page, "rule"], "left_anti").select(*page, "rule")
-    return above.join(kept, [*page, "rule"], "left_semi").select(*page, "id", "rule")
+    fractions = below.groupBy(*one).agg(F.bool_or(within).alias("i"), F.bool_or(reaches).alias("r")).where("i and not r").select(*one)
+    kept = g.join(beside, one, "left_semi").join(fractions, one, "left_anti").select(*one)
+    return above.join(kept, one, "left_semi").select(*page, "id", "rule")
 
 
 #: Bits of a glyph (24 x 24), and how many may differ: under a tenth.

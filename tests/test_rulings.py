@@ -91,6 +91,14 @@ def test_underlines_against_plain_pages(spark):
     assert got == want and len(got) > 40
 
 
+def test_rules_that_share_an_id_are_told_apart(spark):
+    words = [(1, 1, 0.0, 20.0, 0.0, 10.0), (1, 2, 30.0, 50.0, 0.0, 10.0), (1, 3, 0.0, 20.0, 100.0, 110.0)]
+    # the first underlines word 1; the second, of the same id, is under word 3, which stands alone in its line
+    rules = [(1, 7, 0.0, 20.0, 10.5, 11.5), (1, 7, 0.0, 20.0, 110.5, 111.5)]
+    got = R.underlined(spark.createDataFrame(words, THING), spark.createDataFrame(rules, THING), ["page"]).collect()
+    assert [(r.page, r.id, r.rule) for r in got] == [(1, 1, 7)]
+
+
 def test_nearest_glyphs_against_all_pairs(spark):
     rng = random.Random(6)
     known = [(k, "".join(rng.choice("01") if 100 < i < 470 else "0" for i in range(576)), rng.choice([0.5, 1.0, 1.3, 2.0]), chr(65 + k % 26)) for k in range(60)]
