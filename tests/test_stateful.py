@@ -39,3 +39,11 @@ def test_language_and_area_are_carried(spark):
     assert got == want
     table = {(r.doc, r.pos, r.number): (r.accepted, r.language, r.area, r.late) for r in S.headers_table(rows.where("number is null or number <> 7")).collect()}
     assert table == {k: v for k, v in want.items() if k[2] != 7}
+
+
+def test_documents_that_share_a_key_of_the_store_keep_their_own_state(spark, monkeypatch):
+    monkeypatch.setattr(S, "BUCKETS", 2)
+    docs = [f"d{k}" for k in range(9)] + [None, ""]
+    rows = spark.createDataFrame([(d, p, "area" if p == 0 else "header", p or None, f"{d}" if p == 0 else None, None, p // 3) for d in docs for p in range(6)], LINE)
+    got = sorted(map(repr, in_parts(spark, rows, S.headers_stream, 2).collect()))
+    assert got == sorted(map(repr, S.headers_table(rows).collect())) and len(got) == 55
