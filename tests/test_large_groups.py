@@ -65,3 +65,21 @@ def test_suppression_on_the_small_table(spark):
     docs = list(pd.read_parquet(f"{at}/documents.parquet")[["doc_id", "text", "lang", "source"]].itertuples(index=False, name=None))
     want = suppressed_in_turn(docs)
     assert {r.doc_id: r.keeper for r in QUERIES["suppress_copies"](spark, at).collect()} == want and any(want.values())
+
+
+def test_fallback_meets_one_key_of_each_coverage(spark, tmp_path, monkeypatch):
+    from corpusmill.plans import q_dedup
+
+    met = []
+    whole = q_dedup.L.with_fallback
+    monkeypatch.setattr(q_dedup.L, "with_fallback", lambda own, others: met.append(others.count()) or whole(own, others))
+    lines = [(i, 3 if i % 2 else 7, "N" if i % 3 else "R") for i in range(300)]
+    at = stored(spark, tmp_path, lineitem=(lines, "l_orderkey long, l_suppkey long, l_returnflag string"), supplier=([(k,) for k in range(1, 5001)], "s_suppkey long"))
+    got = {r.id: (r.via, r.sibling_key) for r in QUERIES["coverage_fallback"](spark, at).collect()}
+    want = {}
+    for i, folder, flag in lines:
+        best = max(((i * 13 + k * 7) % 100, -k) for k in range(1, 5001) if k % 50 == folder)
+        other = -best[1] if best[0] >= 80 else None
+        want[i] = ("own", None) if flag != "N" else ("none" if other is None else "sibling", other)
+    assert got == want and {v for v, _ in got.values()} == {"own", "sibling", "none"}
+    assert met == [600]  # not 100 keys for each of 300 ids
