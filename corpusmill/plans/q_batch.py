@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import batch as B
+from ..operators import blocks as K
 from ..operators import merge as M
 from ..operators import parse as P
 from ..streaming import incremental as I
@@ -301,13 +302,15 @@ WITH p AS (SELECT label, list_sum(list_transform(embedding, lambda x: x::DOUBLE
 SELECT q.vec_id, arg_max(p.vec_id, (round(list_dot_product(q.e::DOUBLE[], p.e::DOUBLE[]) / sqrt(q.n * p.n), 6), -p.vec_id)) AS nearest, max(round(list_dot_product(q.e::DOUBLE[], p.e::DOUBLE[]) / sqrt(q.n * p.n), 6)) AS cosine FROM q JOIN p ON p.vec_id <> q.vec_id GROUP BY q.vec_id
 """)
 def nn_template(read):
-    """For one vector in a hundred, the nearest of all others by cosine: the stated query set is small enough to broadcast."""
-    v = read("embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    """For one vector in a hundred, the nearest of all others by cosine; of vectors without a cosine, nulls."""
+    v = read("embeddings").where("vec_id is not null").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     v = v.withColumn("n", dot(F.col("e"), F.col("e")))
     q = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("e").alias("qe"), F.col("n").alias("qn"))
-    c = v.join(q, F.col("vec_id") != F.col("q")).select("q", "vec_id", F.round(dot(F.col("qe"), F.col("e")) / F.sqrt(F.col("qn") * F.col("n")), 6).alias("cosine"))
-    best = c.groupBy("q").agg(F.max_by("vec_id", F.struct("cosine", (-F.col("vec_id")).alias("k"))).alias("nearest"), F.max("cosine").alias("cosine"))
+    q = K.in_blocks(q.repartition(q.count() // K.ROWS + 1))
+    near = K.every_two(q, K.in_blocks(v), f"q {dict(v.dtypes)['vec_id']}, vec_id {dict(v.dtypes)['vec_id']}, cosine double", K.nearest_by_cosine)
+    near = near.withColumn("cosine", F.round("cosine", 6))
+    best = near.groupBy("q").agg(F.max_by("vec_id", F.when(F.col("cosine").isNotNull(), F.struct("cosine", (-F.col("vec_id")).alias("k")))).alias("nearest"), F.max("cosine").alias("cosine"))
     return best.withColumnRenamed("q", "vec_id")
 
 
