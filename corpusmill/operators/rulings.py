@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import cut
+from .blocks import ROWS, every_two, in_blocks, nearest_by_bits
 from .window import coalesce_intervals, lines_by_tolerance
 
 #: How far pieces of one rule may lie apart, across it and along it, and how far a rule may miss a crossing.
@@ -136,30 +140,18 @@ BITS, MOST = 576, 57
 ASPECT = 0.35
 
 
-def _bands(bits: Column) -> Column:
-    """MOST + 1 bands of a glyph's bits, dealt out evenly so that no band is an empty corner; glyphs that differ in MOST bits or
-    fewer agree in one band at least."""
-    n = MOST + 1
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda b: F.struct(b.alias("band"), F.array_join(F.transform(F.sequence(b, F.lit(BITS - 1), F.lit(n)), lambda i: F.substring(bits, i + 1, F.lit(1))), "").alias("value")))
-
-
-def _packed(bits: Column) -> list[Column]:
-    return [F.conv(F.substring(bits, 48 * k + 1, 48), 2, 10).cast("long") for k in range(BITS // 48)]
-
-
 def nearest_glyphs(glyphs: DataFrame, known: DataFrame) -> DataFrame:
     """(id, known, char, distance): the known glyph in whose bits each glyph differs least, if in under a tenth of them and the
     logarithms of their aspects are within ASPECT; ties to the least id of ``known``. Nulls for those that no known one is like.
 
     ``glyphs``: id, bits (a string of 576 zeros and ones), aspect; ``known``: id, bits, aspect, char. Equal bits and aspects are
-    looked up once. Only glyphs that agree in a band are compared, which loses none: 57 differences leave one of 58 bands alone.
+    looked up once. Every two are compared, in blocks. Glyphs that are null, or of another number of bits, are like none.
     """
-    q = glyphs.select("bits", "aspect").distinct()
-    k = known.select(F.col("id").alias("known"), F.col("bits").alias("k_bits"), F.log("aspect").alias("k_log"), "char")
-    probes = q.select("bits", "aspect", F.log("aspect").alias("_log"), F.inline(_bands(F.col("bits"))))
-    held = k.select("known", "k_bits", "k_log", F.inline(_bands(F.col("k_bits"))))
-    met = probes.join(held, ["band", "value"]).where(F.abs(F.col("_log") - F.col("k_log")) <= ASPECT).select("bits", "aspect", "known", "k_bits").distinct()
-    distance = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(_packed(F.col("bits")), _packed(F.col("k_bits")), strict=True)), F.lit(0))
-    best = met.withColumn("d", distance).where(F.col("d") <= MOST).groupBy("bits", "aspect").agg(F.min(F.struct("d", "known")).alias("b"))
-    named = best.select("bits", "aspect", F.col("b.d").alias("distance"), F.col("b.known").alias("known")).join(known.select(F.col("id").alias("known"), "char"), "known")
+    whole = f"length(bits) = {BITS} and aspect is not null"
+    q = cut(glyphs.where(whole).select("bits", "aspect").distinct().withColumn("_q", F.monotonically_increasing_id()))
+    probes = q.select("_q", "bits", F.log("aspect").alias("_log")).where("_log is not null")
+    held = known.where(whole).select(F.col("id").alias("known"), F.col("bits").alias("k_bits"), F.log("aspect").alias("k_log")).where("known is not null and k_log is not null")
+    met = every_two(in_blocks(probes.repartition(probes.count() // ROWS + 1)), in_blocks(held), f"_q long, known {dict(held.dtypes)['known']}, d long", partial(nearest_by_bits, most=MOST, reach=ASPECT))
+    best = met.groupBy("_q").agg(F.min(F.struct("d", "known")).alias("b")).join(q, "_q")
+    named = best.select("bits", "aspect", F.col("b.d").cast("int").alias("distance"), F.col("b.known").alias("known")).join(known.select(F.col("id").alias("known"), "char"), "known")
     return glyphs.join(named, ["bits", "aspect"], "left").select("id", "known", "char", "distance")
