@@ -12,12 +12,20 @@ from pyspark.sql import functions as F
 from ..lineage import ship
 
 
+#: Rows of a result that are handed on together, at least.
+MANY = 20_000
+
+
 def common_subsequence(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Places (i, j) of a longest common subsequence.
 
-    Equal ends are taken off first. The rest is halved: the best way through the middle is where the lengths of the first half
+    Paragraphs that stand once on either side, in one order, are all common. Otherwise equal ends are taken off first. The rest is halved: the best way through the middle is where the lengths of the first half
     with each prefix and of the second with the rest add up to most, the first such place; rows are vectors, so memory is linear.
     """
+    place = {p: j for j, p in enumerate(b)}
+    met = [(i, place[p]) for i, p in enumerate(a) if p in place]
+    if len(place) == len(b) and all(x[1] < y[1] for x, y in zip(met, met[1:], strict=False)):
+        return met
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
@@ -66,15 +74,22 @@ def paragraph_diff(old: DataFrame, new: DataFrame, key: str, text: str, separato
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
+            rows = []
             for k, a, b in pdf.itertuples(index=False):
                 a, b = (t.split(separator) if isinstance(t, str) else [] for t in (a, b))
                 same = common_subsequence(a, b)
                 left, right = {i for i, _ in same}, {i for _, i in same}
-                rows = [("kept", i, j, a[i]) for i, j in same]
-                rows += [("removed", i, None, p) for i, p in enumerate(a) if i not in left]
-                rows += [("added", None, i, p) for i, p in enumerate(b) if i not in right]
-                out = pd.DataFrame([(k, *r) for r in rows], columns=[key, "change", "old_pos", "new_pos", "paragraph"])
-                yield out.astype({"old_pos": "Int64", "new_pos": "Int64"})
+                rows += [(k, "kept", i, j, a[i]) for i, j in same]
+                rows += [(k, "removed", i, None, p) for i, p in enumerate(a) if i not in left]
+                rows += [(k, "added", None, i, p) for i, p in enumerate(b) if i not in right]
+                if len(rows) > MANY:
+                    yield table(rows)
+                    rows = []
+            if rows:
+                yield table(rows)
+
+    def table(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=[key, "change", "old_pos", "new_pos", "paragraph"]).astype({"old_pos": "Int64", "new_pos": "Int64"})
 
     ship(old.sparkSession)
     return j.mapInPandas(run, f"`{key}` {dict(old.dtypes)[key]}, change string, old_pos long, new_pos long, paragraph string")
