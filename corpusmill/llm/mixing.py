@@ -17,14 +17,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_column, cut, filter_rows, free_names, map_rows, release, whole_text
+from .common import add_column, cut, filter_rows, free_names, map_rows, release, ship, whole_text
 
 TOPICS = 8
 #: Words are counted by so many buckets of their hash.
 DIMS = 4096
-#: The bound of the sample that the topics are fitted on: rows, and code points a row.
-SAMPLE_ROWS = 1500
-SAMPLE_CHARS = 20_000
+#: Rounds that the topics are fitted in, and what sums of vectors are counted in: whole numbers add up to the same in any order.
+TOPIC_ROUNDS = 6
+UNIT = float(1 << 24)
+#: A language of at least one text in so many, and 20 texts, has a mean of its own.
+LANGUAGES = 64
 BY = ("source", "lang", "topic")
 #: Cells up to this number are raked on the driver and broadcast; more are raked as a table, by the same rule, to the same result.
 DRIVER_CELLS = 50_000
@@ -66,42 +68,88 @@ class Counter:
         return np.sqrt(np.bincount(np.fromiter(map(bucket.__getitem__, long), dtype=np.int64, count=len(long)), minlength=DIMS)), len(w)
 
 
-def fit_topics(rows: list[tuple[str | None, str]], topics: int = TOPICS, rounds: int = 12) -> Topics:
-    """Spherical k-means over (language, text); the mean of each language is taken out first, so that topics are not languages.
+def _matrix(b: pa.RecordBatch) -> np.ndarray:
+    """The counts of some rows, a line each."""
+    x = np.zeros((b.num_rows, DIMS))
+    for row, at, n in zip(x, b.column("places").to_pylist(), b.column("counts").to_pylist(), strict=True):
+        row[np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
+    return x
 
-    Starts from the text nearest to the mean, then the texts farthest from all centroids so far, so a refit gives the same.
+
+def _sums(counted: DataFrame, groups: int, placed) -> np.ndarray:
+    """The sums of whole vectors by group, groups x DIMS, over all rows: each task adds up its own, and Spark adds those.
+
+    ``placed`` maps languages and counts of some rows to their groups (-1: none) and vectors.
     """
-    count = Counter()
-    counted = [(g, c) for g, t in sorted({(g or "", t) for g, t in rows}) if (c := count(t.encode("utf-8", "replace"))[0]) is not None]
-    if not counted:
-        return Topics(np.zeros((1, DIMS)), np.ones(DIMS), {None: np.zeros(1)})
-    x = np.stack([c for _, c in counted])
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0)))
-    x *= idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    languages = np.array([g for g, _ in counted])
-    means = {None: x.mean(axis=0)} | {g: x[languages == g].mean(axis=0) for g in np.unique(languages).tolist() if (languages == g).sum() >= 20}
-    y = x - np.stack([means.get(g, means[None]) for g in languages.tolist()])
-    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
-    picked = [int((y @ y.mean(axis=0)).argmax())]
-    while len(picked) < min(topics, len(y)):
-        picked.append(int((y @ y[picked].T).max(axis=1).argmin()))
-    c = y[picked]
-    for _ in range(rounds):
-        near = (y @ c.T).argmax(axis=1)
-        c = np.stack([y[near == k].sum(axis=0) if (near == k).any() else c[k] for k in range(len(c))])
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return Topics(c, idf, {g: c @ m for g, m in means.items()})
+    ship(counted.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((groups, DIMS), np.int64)
+        for b in batches:
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
+                k, v = placed(part.column("lang").to_pylist(), _matrix(part))
+                for g in np.unique(k[k >= 0]):
+                    total[g] += v[k == g].sum(axis=0)
+        k, at = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(at, pa.int32()), pa.array(total[k, at])], names=["k", "at", "v"])
+
+    got = counted.mapInArrow(run, "k int, at int, v long").groupBy("k", "at").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros((groups, DIMS), np.int64)
+    out[got["k"].to_numpy(), got["at"].to_numpy()] = got["v"].to_numpy()
+    return out
+
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
-def topics_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Topics:
-    """Topics fitted on up to ``rows`` texts of at most ``chars`` code points, the first in the order of a hash of their rows."""
-    at = F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.col(lang).cast("string"))
-    # of all rows about 2 * rows have a hash of at most this, so no task sends the driver more than its part of them
-    below = float(1 << 63) * (min(1.0, 2 * rows / max(1, docs.count())) * 2 - 1)
-    near = docs.select(at.alias("at"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    fits = near.where(f"length(text) between 1 and {chars}").where(F.col("at").cast("double") <= below)
-    return fit_topics([(r.lang, r.text) for r in fits.orderBy("at", "lang", "text").limit(rows).collect()])
+
+def topics_of(docs: DataFrame, text: str = "text", lang: str = "lang", topics: int = TOPICS, rounds: int = TOPIC_ROUNDS) -> Topics:
+    """Spherical k-means over all whole texts with words; the mean of each language is taken out first, so that topics are not
+    languages (those of few texts have the mean of all).
+
+    Words are counted once and the counts written; idf, means and every round are sums over all rows, of whole numbers, so a refit
+    gives the same. The first groups are those of the nearest of ``topics`` fixed random directions: their means lie along the
+    directions in which the texts differ most.
+    """
+
+    def rows(it: Iterator[tuple]) -> Iterable[tuple]:
+        count = Counter()
+        for g, d in it:
+            c = count(d)[0]
+            if c is not None:
+                at = np.flatnonzero(c)
+                yield g or "", at.astype(np.uint16).tobytes(), np.rint(c[at] ** 2).astype(np.uint32).tobytes()
+
+    counted = cut(map_rows(docs, [F.col(lang).cast("string").alias("lang"), whole_text(text)], "lang string, places binary, counts binary", rows))
+    n = counted.count()
+    if not n:
+        release(counted)
+        return Topics(np.zeros((1, DIMS)), np.ones(DIMS), {None: np.zeros(1)})
+    idf = np.log((1 + n) / (1 + _sums(counted, 1, lambda g, x: (np.zeros(len(g), np.int64), (x > 0).astype(np.int64)))[0]))
+    sizes = counted.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(20, n / LANGUAGES)).orderBy("lang").collect()
+    order = {r.lang: k for k, r in enumerate(sizes)}
+
+    def by_language(langs: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.array([order.get(g, len(order)) for g in langs]), np.rint(_unit(np.sqrt(x) * idf) * UNIT).astype(np.int64)
+
+    total = _sums(counted, len(order) + 1, by_language) / UNIT
+    means = np.vstack([total[k] / r.n for k, r in enumerate(sizes)] + [total.sum(axis=0) / n])
+    c = _unit(np.random.default_rng(1).standard_normal((topics, DIMS)))
+    for _ in range(rounds + 1):
+        shared = docs.sparkSession.sparkContext.broadcast((order, idf, means, c))
+
+        def by_topic(langs: list[str], x: np.ndarray, shared=shared) -> tuple[np.ndarray, np.ndarray]:
+            order, idf, means, c = shared.value
+            y = _unit(_unit(np.sqrt(x) * idf) - means[[order.get(g, len(order)) for g in langs]])
+            return (y @ c.T).argmax(axis=1), np.rint(y * UNIT).astype(np.int64)
+
+        found = _sums(counted, topics, by_topic)
+        last, c = c, np.where(found.any(axis=1, keepdims=True), _unit(found / UNIT), c)
+        if np.array_equal(last, c):
+            break
+    release(counted)
+    return Topics(c, idf, {g: c @ means[k] for g, k in order.items()} | {None: c @ means[-1]})
 
 
 class Assign:
@@ -273,7 +321,7 @@ def mix(docs: DataFrame, targets: list[dict[str, float]] | None = None, keep: fl
 
     ``targets``: token shares by source, by language and by topic; by default the observed shares, :func:`tempered`.
     ``keep``: the share of tokens that is taken, less where the largest weight would not let all targets be met. Topics are
-    centroids fitted on a bounded sample (``SAMPLE_ROWS``); tokens, weights and draws cover every row. Whether a document is
+    centroids fitted on all rows (:func:`topics_of`); tokens, weights and draws cover every row, too. Whether a document is
     taken depends on its cell and the hash of seed and doc_id (of seed and text without an id), so rows that repeat both go
     together and a rerun takes the same. Texts without words count no tokens and take part under the topic ``none``. Nulls as in
     :func:`described`; extra columns are ignored; an empty table gives an empty table.

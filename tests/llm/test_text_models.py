@@ -165,6 +165,19 @@ def test_topics_are_not_languages(spark):
     assert all(len(t) > 2 for t in by.values())
 
 
+def test_topics_are_fitted_on_all_texts(spark, monkeypatch):
+    """Word counts, means and centroids are those of all rows, in plain loops; no order, size or split of the table changes them."""
+    texts = [(k, ("alpha beta gamma " if k % 3 else "delta epsilon zeta ") + f"word{k % 11} " + "long " * (6000 if k == 7 else k % 5)) for k in range(2000)] + [(2000, None), (2001, "a b")]
+    docs = spark.createDataFrame([(k, t, ("en", "de", None)[k % 3], "s") for k, t in texts], "doc_id long, text string, lang string, source string")
+    model = mixing.topics_of(docs.repartition(7))
+    count = mixing.Counter()
+    x = np.stack([c for _, t in texts if t and (c := count(t.encode())[0]) is not None])
+    assert len(x) == 2000 and np.allclose(model.idf, np.log(2001 / (1 + (x > 0).sum(axis=0))))
+    again = mixing.topics_of(docs.coalesce(2))
+    assert np.array_equal(model.centroids, again.centroids) and sorted(map(str, model.bias)) == ["", "None", "de", "en"]
+    assert {r.topic for r in mixing.described(docs, model).where("doc_id = 2001").collect()} == {"none"}
+
+
 def test_many_values_as_a_table(spark):
     """The factors of a marginal as a table give the same as on the driver."""
     cells = [("a", "x", "p", 50), ("a", "y", "p", 30), ("b", "x", "q", 10), ("b", "y", "q", 20), ("c", "x", "q", 30), ("c", "y", "p", 5)]
