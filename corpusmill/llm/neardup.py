@@ -17,7 +17,9 @@ hold. Let ``D(x)`` be the shingles in which ``x`` and ``P`` differ, and ``|x| +
   slack. So one pair for each such member, with that top, connects them all.
 * All other links share differences, and each difference is one of at most half of the members. A link differs in at most
   ``3/37 S`` shingles, so of ``D(x)``, the rarest first, one of the first ``3/37 S + 1`` is shared. Differences with few holders
-  propose their pairs; the holders of the others are clusters of at most half the size, resolved in the next level.
+  propose their pairs; the holders of the others are clusters of at most half the size, resolved in the next level. There only
+  pairs count whose first shared difference is the cluster's own, so members bring those of their differences alone that come
+  after it and that others of them hold; the number of those that are left out still counts in their slack.
 
 So the levels are few, every level proposes one pair a member and those of short lists, no large group is listed as all its pairs,
 and no link is lost that the bands propose. Proposed links are confirmed on the full sets, too.
@@ -196,10 +198,11 @@ def _tokens(texts: DataFrame) -> DataFrame:
 
 
 def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
-    """One level of clusters, (g, rep, tag, n, d), to the pairs (a, b) it proposes and the members of the next.
+    """One level of clusters, (g, rep, tag, n, out, d), to the pairs (a, b) it proposes and the members of the next.
 
-    ``d`` holds what is left of a set of ``n`` shingles: the whole set at first, then its differences from the consensus so far.
-    A further consensus, of the differences of some members, is taken out in the same way. Members with one ``tag`` are connected
+    ``d`` holds what is left of a set of ``n`` shingles: the whole set at first, then its differences from the consensus so far,
+    without ``out`` of them that no pair shares which is still to be found. A further consensus, of the differences of some
+    members, is taken out in the same way. Members with one ``tag`` are connected
     already; lists of such members alone are left out.
     """
     less, more = 100 - SIMILAR, 100 + SIMILAR
@@ -208,27 +211,28 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
     counts = cut(held.where("f > 1").join(sizes, "g"))
     # as long as two members at most, for more than half of the members hold each of its shingles; -1 - e says that e is missing
     consensus = cut(sizes.join(counts.where("2 * f > size").groupBy("g").agg(F.collect_list("e").alias("p")), "g", "left").select("g", F.coalesce("p", F.array().cast("array<long>")).alias("p")))
-    d = members.join(consensus, "g").select("g", "rep", "tag", "n", F.concat(F.array_except("d", "p"), F.transform(F.array_except("p", "d"), lambda e: -1 - e)).alias("d"))
-    d = cut(d.withColumn("slack", less * F.col("n") - more * F.size("d")))
+    d = members.join(consensus, "g").select("g", "rep", "tag", "n", "out", F.concat(F.array_except("d", "p"), F.transform(F.array_except("p", "d"), lambda e: -1 - e)).alias("d"))
+    d = cut(d.withColumn("slack", less * F.col("n") - more * (F.size("d") + F.col("out"))))
     top = _written(d.groupBy("g").agg(F.max(F.struct("slack", (-F.col("rep")).alias("r"), "tag")).alias("m")).select("g", F.col("m.slack").alias("most"), (-F.col("m.r")).alias("top"), F.col("m.tag").alias("top_tag")), n_members)
     near = d.join(top, "g")
     star = F.col("slack") + F.col("most") >= 0
     tag = F.coalesce("tag", F.when(star, F.coalesce("top_tag", "top")))
     reach = F.floor(less * F.col("n") / SIMILAR + 1e-9).cast("long") + 1  # links differ in less / more * (n + 100 n / SIMILAR) at most
     least = F.greatest(F.lit(1), F.ceil(-(F.col("slack") + F.col("most")) / (2 * more)).cast("long"))
-    near = cut(near.select("g", "rep", "n", "d", tag.alias("tag"), (star & (F.col("rep") != F.col("top"))).alias("star"), "top", F.least(reach, F.size("d") - least + 1).alias("prefix")))
+    near = cut(near.select("g", "rep", "n", "out", "d", tag.alias("tag"), (star & (F.col("rep") != F.col("top"))).alias("star"), "top", F.least(reach - F.col("out"), F.size("d") - least + 1).alias("prefix")))
     pairs = [near.where("star").select(F.least("rep", "top").alias("a"), F.greatest("rep", "top").alias("b"))]
     # differences of one holder, or of members that are connected already, propose nothing and come before all others
-    held = near.select("g", "tag", F.explode("d").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"), F.count("tag").alias("ht"), F.min("tag").alias("t0"), F.max("tag").alias("t1"))
+    open_ = near.where("prefix > 0")  # the others share too few differences with any member
+    held = open_.select("g", "tag", F.explode("d").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"), F.count("tag").alias("ht"), F.min("tag").alias("t0"), F.max("tag").alias("t1"))
     useful = cut(held.where("f > 1 and not (f = ht and t0 = t1)").select("g", "e", "f"))
-    said = near.where("prefix > 0").select("g", "rep", "n", "tag", "prefix", F.size("d").alias("nd"), F.explode("d").alias("e")).join(useful, ["g", "e"])
-    ranked = said.groupBy("g", "rep", "n", "tag", "prefix", "nd").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s"))
+    said = open_.select("g", "rep", "n", "out", "tag", "prefix", F.size("d").alias("nd"), F.explode("d").alias("e")).join(useful, ["g", "e"])
+    ranked = cut(said.groupBy("g", "rep", "n", "out", "tag", "prefix", "nd").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s")))
     kept = F.slice("s", F.lit(1), F.greatest(F.lit(0), (F.col("prefix") - F.col("nd") + F.size("s")).cast("int")))
     entries = cut(ranked.select("g", "rep", "n", "tag", F.explode(kept).alias("x")).select("g", F.col("x.e").alias("e"), F.col("x.f").alias("f"), "rep", "n", "tag"))
     # differences of up to RARE holders are gathered where they lie; of the others, the lists are counted first
     member = F.sort_array(F.collect_list(F.struct("rep", "n", "tag"))).alias("m")
     rare = entries.where(F.col("f") <= RARE).groupBy("g", "e").agg(member).where(F.size("m") > 1).select("g", "m").distinct()
-    common = entries.where(F.col("f") > RARE).drop("f")
+    common = entries.where(F.col("f") > RARE)
     lists = common.groupBy("g", "e").agg(
         F.count(F.lit(1)).alias("h"),
         F.min("tag").alias("t0"),
@@ -236,6 +240,7 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
         F.count("tag").alias("ht"),
         F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("sum"),
         F.min("rep").alias("r0"),
+        F.min("f").alias("f"),
     )
     lists = cut(lists.where("h > 1 and not (h = ht and t0 = t1)").withColumn("id", F.xxhash64("g", "h", "sum", "r0")))
     short = common.join(lists.where(F.col("h") <= RARE).dropDuplicates(["id"]).select("g", "e"), ["g", "e"])
@@ -243,11 +248,14 @@ def _level(members: DataFrame, n_members: int) -> tuple[DataFrame, DataFrame]:
     p = gathered.select(F.explode(_pairs(F.col("m"))).alias("p"))
     fits = 100 * F.least("p.a.n", "p.b.n") >= SIMILAR * F.greatest("p.a.n", "p.b.n")
     pairs.append(p.where(fits & ~F.coalesce(F.col("p.a.tag") == F.col("p.b.tag"), F.lit(False))).select("p.a.rep", "p.b.rep").toDF("a", "b"))
-    long = lists.where(F.col("h") > RARE).dropDuplicates(["id"]).select("g", "e", "id")
-    after = common.join(long, ["g", "e"]).select("g", "id", "rep", "tag").join(near.select("g", "rep", "n", "d"), ["g", "rep"])
-    after = cut(after.select(F.col("id").alias("g"), "rep", "tag", "n", "d"))
+    # of lists of the same members, that of the first difference: what comes before it they do not share as far as it is theirs
+    long = lists.where(F.col("h") > RARE).groupBy("g", "id").agg(F.min(F.struct("f", "e")).alias("x")).select("g", "x.e", "id")
+    after = common.join(long, ["g", "e"]).select("g", "id", "rep", F.struct("f", "e").alias("x")).join(ranked.select("g", "rep", "n", "out", "tag", "nd", "s"), ["g", "rep"])
+    left = F.transform(F.filter("s", lambda y: y >= F.col("x")), lambda y: y["e"])
+    after = after.select(F.col("id").alias("g"), "rep", "tag", "n", (F.col("out") + F.col("nd")).alias("out"), left.alias("d"))
+    after = cut(after.withColumn("out", F.col("out") - F.size("d")))
     found = cut(pairs[0].union(pairs[1]).distinct())
-    release(sizes, counts, consensus, d, top, near, useful, entries, lists)
+    release(sizes, counts, consensus, d, top, near, useful, ranked, entries, lists)
     return found, after
 
 
@@ -258,7 +266,7 @@ def _cluster_pairs(hot: DataFrame, texts: DataFrame) -> list[DataFrame]:
     clusters = components(hot.select(F.col("rep").alias("a"), F.col("head").alias("b")))
     tokens = _tokens(texts.join(hot.select("rep").distinct(), "rep", "left_semi"))
     node = clusters.select(F.col("component").alias("g"), F.col("node").alias("rep"), F.lit(None).cast("long").alias("tag"))
-    members, found = cut(node.join(tokens, "rep").select("g", "rep", "tag", F.size("tokens").cast("long").alias("n"), F.col("tokens").alias("d"))), []
+    members, found = cut(node.join(tokens, "rep").select("g", "rep", "tag", F.size("tokens").cast("long").alias("n"), F.lit(0).alias("out"), F.col("tokens").alias("d"))), []
     while (n := members.count()) > 0:
         pairs, after = _level(members, n)
         release(members)

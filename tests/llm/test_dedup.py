@@ -209,3 +209,18 @@ def test_long_texts_are_hashed_in_parts(spark):
     want = sorted((r.doc_id, r.fp, r.n_bytes, r.n_points, r.text_sha256) for r in exact_dedup.fingerprints(df).collect())
     for long in (7, 10, 399):
         assert sorted((r.doc_id, r.fp, r.n_bytes, r.n_points, r.text_sha256) for r in exact_dedup.fingerprints(df, long=long).collect()) == want
+
+
+def test_members_of_later_levels_bring_what_others_hold(spark, monkeypatch):
+    """Differences of one holder, and those before a cluster's own, stay behind, and their number is kept."""
+    brought, level = [], neardup._level
+
+    def logged(members, n):
+        brought.append(sum(len(r.d) for r in members.collect()))
+        return level(members, n)
+
+    monkeypatch.setattr(neardup, "_level", logged)
+    texts = boilerplate_family(150)
+    df = spark.createDataFrame([(i, t.decode()) for i, t in texts.items()], "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == brute(texts)
+    assert len(brought) > 1 and 3 * sum(brought[1:]) < brought[0]
