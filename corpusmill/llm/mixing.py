@@ -68,104 +68,149 @@ class Counter:
         return np.sqrt(np.bincount(np.fromiter(map(bucket.__getitem__, long), dtype=np.int64, count=len(long)), minlength=DIMS)), len(w)
 
 
-def _matrix(b: pa.RecordBatch) -> np.ndarray:
-    """The counts of some rows, a line each."""
-    x = np.zeros((b.num_rows, DIMS))
-    for row, at, n in zip(x, b.column("places").to_pylist(), b.column("counts").to_pylist(), strict=True):
-        row[np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
-    return x
+@dataclass
+class Rows:
+    """The counts of some rows, entry by entry: the row, the bucket and the count of each; and the languages of the rows."""
+
+    row: np.ndarray
+    place: np.ndarray
+    count: np.ndarray
+    langs: list
+
+    @staticmethod
+    def of(b: pa.RecordBatch) -> Rows:
+        at = b.column("places").to_pylist()
+        row = np.repeat(np.arange(len(at)), [len(x) // 2 for x in at])
+        return Rows(row, np.frombuffer(b"".join(at), np.uint16).astype(np.int64), np.frombuffer(b"".join(b.column("counts").to_pylist()), np.uint32), b.column("lang").to_pylist())
+
+    def sums(self, entries: np.ndarray) -> np.ndarray:
+        """The sum of each row's entries, added one after another, so that a row has the same sum in any company."""
+        return np.bincount(self.row, entries, len(self.langs))
+
+    def weights(self, idf: np.ndarray) -> np.ndarray:
+        """The entries of the rows' unit vectors."""
+        w = np.sqrt(self.count) * idf[self.place]
+        return w / np.maximum(np.sqrt(self.sums(w * w)), 1e-12)[self.row]
 
+    def nearest(self, w: np.ndarray, centroids: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """The centroid that each row, less the mean of its language, is nearest to; ``bias``: the product of both."""
+        return (np.column_stack([self.sums(w * c[self.place]) for c in centroids]) - bias).argmax(axis=1)
 
-def _sums(counted: DataFrame, groups: int, placed) -> np.ndarray:
-    """The sums of whole vectors by group, groups x DIMS, over all rows: each task adds up its own, and Spark adds those.
 
-    ``placed`` maps languages and counts of some rows to their groups (-1: none) and vectors.
+def _sums(counted: DataFrame, groups: int, width: int, placed) -> np.ndarray:
+    """Sums by group and place, groups x width, over all rows: each task adds up its own, and Spark adds those.
+
+    ``placed`` maps some rows to the groups, places and whole values of what is added.
     """
     ship(counted.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((groups, DIMS), np.int64)
+        total = np.zeros(groups * width, np.int64)
         for b in batches:
-            for start in range(0, b.num_rows, 256):
-                part = b.slice(start, 256)
-                k, v = placed(part.column("lang").to_pylist(), _matrix(part))
-                for g in np.unique(k[k >= 0]):
-                    total[g] += v[k == g].sum(axis=0)
-        k, at = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(at, pa.int32()), pa.array(total[k, at])], names=["k", "at", "v"])
+            for start in range(0, b.num_rows, 1024):
+                k, at, v = placed(Rows.of(b.slice(start, 1024)))
+                total += np.bincount(k * width + at, v, groups * width).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["at", "v"])
 
-    got = counted.mapInArrow(run, "k int, at int, v long").groupBy("k", "at").agg(F.sum("v").alias("v")).toArrow()
-    out = np.zeros((groups, DIMS), np.int64)
-    out[got["k"].to_numpy(), got["at"].to_numpy()] = got["v"].to_numpy()
-    return out
+    got = counted.select("lang", "places", "counts").mapInArrow(run, "at long, v long").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(groups * width, np.int64)
+    out[got["at"].to_numpy()] = got["v"].to_numpy()
+    return out.reshape(groups, width)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
 
+def _counted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", seed: str = SEED) -> DataFrame:
+    """doc_id, source, lang, draw, n_tokens, and the buckets and counts of the words of four bytes (empty without any)."""
+
+    def rows(it: Iterator[tuple]) -> Iterable[tuple]:
+        count = Counter()
+        for *known, d in it:
+            c, n = count(d)
+            at, x = _entries(c)
+            yield *known, n, at.astype(np.uint16).tobytes(), x.astype(np.uint32).tobytes()
+
+    columns = [F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"), _draw(seed, doc_id, text).alias("draw"), whole_text(text)]
+    return map_rows(docs, columns, f"doc_id {dict(docs.dtypes)[doc_id]}, source string, lang string, draw double, n_tokens long, places binary, counts binary", rows)
+
+
+def _entries(c: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that a text has, and its counts of them."""
+    at = np.flatnonzero(c) if c is not None else np.empty(0, np.int64)
+    return at, np.rint(c[at] ** 2) if len(at) else at
+
+
 def topics_of(docs: DataFrame, text: str = "text", lang: str = "lang", topics: int = TOPICS, rounds: int = TOPIC_ROUNDS) -> Topics:
+    """:func:`_fitted` to all whole texts of ``docs``."""
+    named = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("string").alias("source"), F.col(lang).alias("lang"))
+    counted = cut(_counted(named).select("lang", "places", "counts"))
+    model = _fitted(counted, topics, rounds)
+    release(counted)
+    return model
+
+
+def _fitted(counted: DataFrame, topics: int = TOPICS, rounds: int = TOPIC_ROUNDS) -> Topics:
     """Spherical k-means over all whole texts with words; the mean of each language is taken out first, so that topics are not
     languages (those of few texts have the mean of all).
 
     Words are counted once and the counts written; idf, means and every round are sums over all rows, of whole numbers, so a refit
     gives the same. The first groups are those of the nearest of ``topics`` fixed random directions: their means lie along the
-    directions in which the texts differ most.
+    directions in which the texts differ most. Only entries that are not zero are added up; what a mean takes from the vectors of
+    a topic is that mean times the sum of their factors, which stands behind the places of the words.
     """
-
-    def rows(it: Iterator[tuple]) -> Iterable[tuple]:
-        count = Counter()
-        for g, d in it:
-            c = count(d)[0]
-            if c is not None:
-                at = np.flatnonzero(c)
-                yield g or "", at.astype(np.uint16).tobytes(), np.rint(c[at] ** 2).astype(np.uint32).tobytes()
-
-    counted = cut(map_rows(docs, [F.col(lang).cast("string").alias("lang"), whole_text(text)], "lang string, places binary, counts binary", rows))
+    counted = counted.where(F.length("places") > 0).withColumn("lang", F.coalesce("lang", F.lit("")))
     n = counted.count()
     if not n:
-        release(counted)
         return Topics(np.zeros((1, DIMS)), np.ones(DIMS), {None: np.zeros(1)})
-    idf = np.log((1 + n) / (1 + _sums(counted, 1, lambda g, x: (np.zeros(len(g), np.int64), (x > 0).astype(np.int64)))[0]))
+    idf = np.log((1 + n) / (1 + _sums(counted, 1, DIMS, lambda r: (0, r.place, np.ones(len(r.place))))[0]))
     sizes = counted.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(20, n / LANGUAGES)).orderBy("lang").collect()
     order = {r.lang: k for k, r in enumerate(sizes)}
 
-    def by_language(langs: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.array([order.get(g, len(order)) for g in langs]), np.rint(_unit(np.sqrt(x) * idf) * UNIT).astype(np.int64)
+    def by_language(r: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array([order.get(g, len(order)) for g in r.langs])[r.row], r.place, np.rint(r.weights(idf) * UNIT)
 
-    total = _sums(counted, len(order) + 1, by_language) / UNIT
+    total = _sums(counted, len(order) + 1, DIMS, by_language) / UNIT
     means = np.vstack([total[k] / r.n for k, r in enumerate(sizes)] + [total.sum(axis=0) / n])
     c = _unit(np.random.default_rng(1).standard_normal((topics, DIMS)))
     for _ in range(rounds + 1):
-        shared = docs.sparkSession.sparkContext.broadcast((order, idf, means, c))
+        shared = counted.sparkSession.sparkContext.broadcast((order, idf, means, c))
 
-        def by_topic(langs: list[str], x: np.ndarray, shared=shared) -> tuple[np.ndarray, np.ndarray]:
+        def by_topic(r: Rows, shared=shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             order, idf, means, c = shared.value
-            y = _unit(_unit(np.sqrt(x) * idf) - means[[order.get(g, len(order)) for g in langs]])
-            return (y @ c.T).argmax(axis=1), np.rint(y * UNIT).astype(np.int64)
-
-        found = _sums(counted, topics, by_topic)
-        last, c = c, np.where(found.any(axis=1, keepdims=True), _unit(found / UNIT), c)
+            g, w = np.array([order.get(g, len(order)) for g in r.langs]), r.weights(idf)
+            k = r.nearest(w, c, (means @ c.T)[g])
+            m = means[g[r.row], r.place]
+            far = r.sums(w * (w - 2 * m)) + (means**2).sum(axis=1)[g]
+            factor = np.where(far > 1e-9, 1 / np.sqrt(np.maximum(far, 1e-9)), 0.0)  # a text that is the mean of its language points nowhere
+            return np.concatenate([k[r.row], k]), np.concatenate([r.place, DIMS + g]), np.rint(np.concatenate([w * factor[r.row], factor]) * UNIT)
+
+        sums = _sums(counted, topics, DIMS + len(means), by_topic) / UNIT
+        found = sums[:, :DIMS] - sums[:, DIMS:] @ means
+        last, c = c, np.where(sums.any(axis=1, keepdims=True), _unit(found), c)
         if np.array_equal(last, c):
             break
-    release(counted)
     return Topics(c, idf, {g: c @ means[k] for g, k in order.items()} | {None: c @ means[-1]})
 
 
 class Assign:
-    """The topic and the number of words of a text."""
+    """The topic of texts, and the number of words of one."""
 
     def __init__(self, model: Topics):
         self.model, self.count = model, Counter()
         self.names = [f"topic{k}" for k in range(len(model.centroids))]
 
+    def topics(self, r: Rows) -> list[str]:
+        bias = self.model.bias
+        k = r.nearest(r.weights(self.model.idf), self.model.centroids, np.array([bias.get(g or "", bias[None]) for g in r.langs]))
+        return [self.names[x] if there else "none" for x, there in zip(k, np.bincount(r.row, minlength=len(r.langs)), strict=True)]
+
     def __call__(self, data: bytes, lang: str | None) -> tuple[str, int]:
         x, n = self.count(data)
-        if x is None:
-            return "none", n
-        x = x * self.model.idf
-        bias = self.model.bias.get(lang or "", self.model.bias[None])
-        return self.names[int((self.model.centroids @ x / max(1e-12, float(np.sqrt(x @ x))) - bias).argmax())], n
+        at, count = _entries(x)
+        return self.topics(Rows(np.zeros(len(at), np.int64), at, count, [lang]))[0], n
 
 
 def _draw(seed: str, doc_id: str, text: str) -> Column:
@@ -176,15 +221,24 @@ def _draw(seed: str, doc_id: str, text: str) -> Column:
 def described(docs: DataFrame, model: Topics, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", seed: str = SEED) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, draw. Tokens are words; the topic is ``none`` without words of four bytes. Null
     source or lang: ``unknown``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return _described(_counted(docs, doc_id, text, source, lang, seed), model)
 
-    def rows(it: Iterator[tuple]) -> Iterable[tuple]:
-        topic = Assign(shared.value)
-        for i, s, g, draw, d in it:
-            yield i, "unknown" if s is None else s, "unknown" if g is None else g, *topic(d, g), draw
 
-    columns = [F.col(doc_id).alias("doc_id"), F.col(source).cast("string"), F.col(lang).cast("string"), _draw(seed, doc_id, text).alias("draw"), whole_text(text)]
-    return map_rows(docs, columns, f"doc_id {dict(docs.dtypes)[doc_id]}, source string, lang string, topic string, n_tokens long, draw double", rows)
+def _described(counted: DataFrame, model: Topics) -> DataFrame:
+    """:func:`described` from the counts of :func:`_counted`."""
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        assign = Assign(shared.value)
+        for b in batches:
+            for start in range(0, b.num_rows, 1024):
+                part = b.slice(start, 1024)
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(assign.topics(Rows.of(part)), pa.string())], names=[*part.schema.names[:5], "topic"])
+
+    ship(counted.sparkSession)
+    kinds = ", ".join(f"`{c}` {t}" for c, t in counted.dtypes[:5])
+    known = [F.coalesce(c, F.lit("unknown")).alias(c) for c in ("source", "lang")]
+    return counted.mapInArrow(run, f"{kinds}, topic string").select("doc_id", *known, "topic", "n_tokens", "draw")
 
 
 def tempered(totals: dict[str, float], power: float = POWER, boost: float = BOOST) -> dict[str, float]:
@@ -321,12 +375,14 @@ def mix(docs: DataFrame, targets: list[dict[str, float]] | None = None, keep: fl
 
     ``targets``: token shares by source, by language and by topic; by default the observed shares, :func:`tempered`.
     ``keep``: the share of tokens that is taken, less where the largest weight would not let all targets be met. Topics are
-    centroids fitted on all rows (:func:`topics_of`); tokens, weights and draws cover every row, too. Whether a document is
+    centroids fitted on all rows (:func:`_fitted`), and texts are cut into words once; tokens, weights and draws cover every row, too. Whether a document is
     taken depends on its cell and the hash of seed and doc_id (of seed and text without an id), so rows that repeat both go
     together and a rerun takes the same. Texts without words count no tokens and take part under the topic ``none``. Nulls as in
     :func:`described`; extra columns are ignored; an empty table gives an empty table.
     """
-    d = cut(described(docs, topics_of(docs), seed=seed))
+    counted = cut(_counted(docs, seed=seed))
+    d = cut(_described(counted, _fitted(counted)))
+    release(counted)
     return _drawn(d, *_weights(_cells(d), targets, keep, driver_cells))
 
 
@@ -341,8 +397,10 @@ def marginals(mixed: DataFrame) -> DataFrame:
 def keep_sampled(docs: DataFrame, targets: list[dict[str, float]] | None = None, keep: float = KEEP, seed: str = SEED, driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """The rows of ``docs`` that were taken, with all their columns: the same as :func:`mix` takes, without a join of texts
     where the cells' weights fit on the driver. Cases as in :func:`mix`; columns of any name pass unchanged."""
-    model = topics_of(docs)
-    weights, rate = _weights(_cells(described(docs, model, seed=seed)), targets, keep, driver_cells)
+    counted = cut(_counted(docs, seed=seed))
+    model = _fitted(counted)
+    weights, rate = _weights(_cells(_described(counted, model)), targets, keep, driver_cells)
+    release(counted)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     draw, topic, s, g = free_names(docs, "draw", "topic", "cell_source", "cell_lang")
     drawn = docs.withColumn(draw, _draw(seed, "doc_id", "text"))

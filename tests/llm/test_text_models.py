@@ -260,3 +260,13 @@ def test_long_documents_cost_their_lines_alone():
     texts = [f"word{k} and more words.\nThat is all." if k % 2 else f"%%% {k} %%%\n|||" for k in range(300)] + ["x\n" * 4000]
     field = quality.train(texts, [k % 2 for k in range(300)] + [0], steps=4)
     assert np.isfinite(field.weights).all()
+
+
+def test_mixing_cuts_texts_into_words_once(spark, monkeypatch):
+    """Rounds and the last step work on written counts, entry by entry, and tell a row's topic as its text alone does."""
+    docs, made, whole = mixing_docs(spark), [], mixing.map_rows
+    monkeypatch.setattr(mixing, "map_rows", lambda *a: made.append(1) or whole(*a))
+    got = {r.doc_id: (r.topic, r.n_tokens) for r in mixing.mix(docs).collect()}
+    assert len(made) == 1
+    assign = mixing.Assign(mixing.topics_of(docs))
+    assert got == {r.doc_id: assign(r.text.encode(), r.lang) for r in docs.collect()} and len({t for t, _ in got.values()}) > 2
