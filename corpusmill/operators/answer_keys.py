@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 COLOUR = r"azul|amarel|branc|rosa|cinza|verde|laranja|lil[aá]s"
 BOOKLET = r"caderno\s*([0-9]{1,2})(?![\p{L}\p{N}_])"
 TITLE_NUMBERS, TITLE_ANSWERS = r"(?iu)^\s*quest(ão|ao|ões|oes)\s*", r"(?i)^\s*(gabarito|resposta)s?\s*"
+#: In a text, a line that can be one of numbers: nothing but digits and blanks behind its title.
+NUMBERS_ONLY = r"(?imu)^\s*(?:quest(?:ão|ao|ões|oes))?\s*[0-9][0-9\s\x{85}\x{2028}\x{2029}]*$"
 NUMBERED = r"(?m)^\s*(?:(?iu:quest[ãa]o)\s+)?0*([0-9]{1,3})\s*[.)–-]?\s*(?i:gabarito|resposta(?:\s+correta)?|alternativa\s+correta)\s*:\s*([A-E])(?![\p{L}\p{N}_])"
 BLOCK = r"(?imu)^\s*quest[ãa]o\s*(?=[0-9]{1,3}(?![\p{L}\p{N}_]))"
 BLOCK_ANSWERS = (
@@ -99,9 +101,9 @@ def _columns(lines: Column, column: Column, width: Column) -> Column:
     return F.transform(full, lambda x: _found(4, x["i"], F.get(x["p"], column)["n"], F.get(x["p"], column)["l"]))
 
 
-def _loose(lines: Column) -> Column:
+def _loose(text: Column) -> Column:
     """A number and the letters that follow it on its line: one letter answers it, two answer it for each of two languages."""
-    bare = F.array_join(F.transform(lines, lambda t: F.array_join(_all(t, LOOSE), " ")), " | ")
+    bare = F.translate(F.array_join(_all(text, rf"{LOOSE}|\n"), " "), "\n", "|")
     group = r"([0-9]+)((?: [A-Za-z]+)*)"
     each = F.transform(F.arrays_zip(_all(bare, group, 1).alias("n"), _all(bare, group, 2).alias("l")), lambda z, k: F.struct(k.alias("k"), z["n"].alias("n"), F.split(F.trim(z["l"]), " ").alias("l")))
     one = F.transform(F.filter(each, lambda z: (F.size(z["l"]) == 1) & (z["l"][0] != "")), lambda z: _found(5, z["k"], z["n"], z["l"][0]))
@@ -113,10 +115,9 @@ def _loose(lines: Column) -> Column:
     return F.concat(one, of(0), of(1))
 
 
-def _single(found: Column) -> Column:
-    """The value of a list that names one thing only; else null."""
-    kinds = F.array_distinct(found)
-    return F.when(F.size(kinds) == 1, kinds[0])
+def _single(kinds: str) -> Column:
+    """The value of a list of distinct things that has one only; else null."""
+    return F.when(F.size(kinds) == 1, F.col(kinds)[0])
 
 
 def read_sources(exams: DataFrame, sources: DataFrame) -> DataFrame:
@@ -142,23 +143,25 @@ def read_sources(exams: DataFrame, sources: DataFrame) -> DataFrame:
     s = s.withColumn("lines", F.split("text", "\n")).withColumn("head", F.lower(F.array_join(F.slice("lines", 1, 8), "\n")))
     x = s.join(e, "exam", "left")
     first4 = lambda a: F.transform(a, lambda c: F.substring(c, 1, 4))
-    in_name = _all(F.col("file"), COLOUR)
-    colour = _single(first4(F.when(F.size(in_name) > 0, in_name).otherwise(_all(F.col("head"), COLOUR))))
-    number = _single(_all(F.col("head"), BOOKLET, 1))
+    x = x.withColumn("in_name", F.when(F.col("colour").isNotNull(), _all(F.col("file"), COLOUR)))
+    x = x.withColumn("colours", F.array_distinct(first4(F.when(F.size("in_name") > 0, F.col("in_name")).when(F.col("colour").isNotNull(), _all(F.col("head"), COLOUR)))))
+    x = x.withColumn("numbers", F.when(F.col("booklet_no").isNotNull(), F.array_distinct(_all(F.col("head"), BOOKLET, 1))))
+    colour, number = _single("colours"), _single("numbers")
     veto = F.when(F.col("colour").isNotNull() & colour.isNotNull() & (colour != F.substring("colour", 1, 4)), "other colour").when(F.col("booklet_no").isNotNull() & number.isNotNull() & (number != F.col("booklet_no")), "other booklet")
     heads = F.get(F.filter(F.transform("lines", lambda t: first4(F.transform(_all(t, COLOUR_COLUMN, 1), F.lower))), lambda c: F.size(c) >= 2), F.lit(0))
-    x = x.withColumn("veto", veto).withColumn("heads", F.when(F.col("booklet") != "", heads))
+    x = x.withColumn("veto", veto).withColumn("heads", F.when((F.col("booklet") != "") & F.lower("text").contains("gab_"), heads))
     mine = F.array_position("heads", F.substring("booklet", 1, 4)).cast("int") - 1
     x = x.withColumn("column", F.when(mine >= 0, mine))
-    full = F.filter("lines", lambda t: F.trim(t) != "")
     none = F.array().cast(_FOUND)
-    numbered = _numbered(F.col("text"))
+    # each list is a column of its own, so that it is made once, and only where the file has what the reading needs
+    x = x.withColumn("full", F.when(F.col("veto").isNull() & F.col("text").rlike(NUMBERS_ONLY), F.filter("lines", lambda t: F.trim(t) != "")).otherwise(F.array().cast("array<string>")))
+    x = x.withColumn("numbered", F.when(F.col("veto").isNull() & F.col("text").contains(":"), _numbered(F.col("text"))).otherwise(none))
     parts = [
-        _paired_lines(full),
-        numbered,
-        F.when(F.col("solution") & (F.size(numbered) < 10), _blocks(F.col("flow"))).otherwise(none),
-        _marked(F.col("text")),
-        F.when(F.col("solution"), none).when(F.col("column").isNotNull(), _columns(F.col("lines"), F.col("column"), F.size("heads"))).otherwise(_loose(F.col("lines"))),
+        _paired_lines(F.col("full")),
+        F.col("numbered"),
+        F.when(F.col("solution") & (F.size("numbered") < 10), _blocks(F.col("flow"))).otherwise(none),
+        F.when(F.col("text").contains("CORRETA"), _marked(F.col("text"))).otherwise(none),
+        F.when(F.col("solution"), none).when(F.col("column").isNotNull(), _columns(F.col("lines"), F.col("column"), F.size("heads"))).otherwise(_loose(F.col("text"))),
     ]
     found = F.when(F.col("veto").isNull(), F.concat(*(p.cast(_FOUND) for p in parts))).otherwise(none)
     return x.select("exam", "source", F.struct((~F.col("official")).alias("late"), "ord", "source").alias("rank"), "veto", found.alias("found"))
@@ -170,7 +173,8 @@ def resolved_keys(exams: DataFrame, sources: DataFrame) -> DataFrame:
     Numbers with two letters are answered by language (English, then Spanish), apart from the number alone. Void files and files
     of unknown exams without a colour follow :func:`read_sources`; null texts say nothing; an empty table gives an empty table.
     """
-    each = read_sources(exams, sources).select("exam", "source", "rank", F.explode("found").alias("f")).where("f.number is not null")
+    # outer, as a plain explode would have the readings made once more for a filter of empty lists; those go by the number
+    each = read_sources(exams, sources).select("exam", "source", "rank", F.explode_outer("found").alias("f")).where("f.number is not null")
     best = each.groupBy("exam", F.col("f.number").alias("number"), F.col("f.language").alias("language")).agg(F.min(F.struct("rank", F.col("f.reading").alias("reading"), F.col("f.pos").alias("pos"), F.col("f.sub").alias("sub"), F.col("f.answer").alias("answer"))).alias("b"))
     names = F.array(*(F.lit(n) for n in READINGS))
     return best.select("exam", "number", "language", F.col("b.answer").alias("answer"), F.col("b.rank.source").alias("source"), F.element_at(names, F.col("b.reading") + 1).alias("reading"))

@@ -1,5 +1,6 @@
 """Steps whose work must grow with the rows: told by their plans, or by what they leave out."""
 
+from corpusmill.operators import answer_keys as K
 from corpusmill.operators import dedup, layout, link
 from corpusmill.operators import revisions as V
 
@@ -53,3 +54,13 @@ def test_boxes_are_shuffled_by_page_alone(spark, monkeypatch):
     got = {tuple(r) for r in layout.merge_boxes(b, ["page"]).collect()}
     assert got == {(p, 100 * p, 0, 0, 49, 4, 10) for p in range(3)} | {(1, 0, 900, 900, 905, 905, 1), (2, None, 0, 0, 1, 1, 1), (2, 250, None, 0, 1, 1, 1)}
     assert len(edges) == 1 and edges[0][1] == 27 and "Join" not in edges[0][0]
+
+
+def test_readings_are_made_once(spark):
+    """No filter makes the readings of a file again, and a text is scanned for loose pairs as a whole."""
+    exams = spark.createDataFrame([(1, None, "a.pdf", None)], "exam long, booklet string, file string, cover string")
+    text = "Gabarito\n1 A  2 B\n\n3\nC 4 D\n12 A E\nx5 B, 6 C"
+    files = spark.createDataFrame([(1, 1, 1, "Gabarito.pdf", text, False, None)], "exam long, source long, ord long, file string, text string, solution boolean, flow string")
+    keys = K.resolved_keys(exams, files)
+    assert sorted((r.number, r.language or "", r.answer) for r in keys.collect()) == [(1, "", "A"), (2, "", "B"), (4, "", "D"), (6, "", "C"), (12, "espanhol", "E"), (12, "inglês", "A")]
+    assert "Generate explode(found" in plan(keys) and "Filter (size(" not in plan(keys)
