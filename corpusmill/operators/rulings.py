@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
@@ -15,6 +15,13 @@ from .window import coalesce_intervals, lines_by_tolerance
 ACROSS, ALONG, MISS = 1.5, 3.0, 2.0
 #: A thing this thin is a rule.
 THIN = 2.5
+#: Regions that one task takes, and the most tasks (up to 200, Spark writes shuffled rows without holding them to sort them).
+REGIONS, TASKS = 10_000, 200
+
+
+def tasks(regions: DataFrame) -> int:
+    """Into how many parts pages with these regions are dealt: by their number, and never fewer than the session's."""
+    return max(int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(TASKS, regions.count() // REGIONS + 1))
 
 
 def stitched(pieces: DataFrame, key: list[str], across: float = ACROSS, along: float = ALONG) -> DataFrame:
@@ -26,9 +33,11 @@ def stitched(pieces: DataFrame, key: list[str], across: float = ACROSS, along: f
     wide, tall = F.col("x1") - F.col("x0"), F.col("bottom") - F.col("top")
     flat, upright = (tall < THIN) & (wide > tall), (wide < THIN) & (tall > wide)
     p = pieces.where(flat | upright).select(*key, upright.alias("vertical"), F.when(upright, (F.col("x0") + F.col("x1")) / 2).otherwise((F.col("top") + F.col("bottom")) / 2).cast("double").alias("at"), F.when(upright, F.col("top")).otherwise(F.col("x0")).cast("double").alias("lo"), F.when(upright, F.col("bottom")).otherwise(F.col("x1")).cast("double").alias("hi"))
-    lined = lines_by_tolerance(p, [*key, "vertical"], "at", across)
-    place = lined.groupBy(*key, "vertical", "line").agg(F.avg("at").alias("at"))
-    return coalesce_intervals(lined, [*key, "vertical", "line"], "lo", "hi", along).join(place, [*key, "vertical", "line"]).select(*key, "vertical", "at", "lo", "hi")
+    line = [*key, "vertical", "line"]
+    # the mean is taken in the order in which intervals are met, so that one sort serves both
+    whole = Window.partitionBy(*line).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lined = lines_by_tolerance(p, [*key, "vertical"], "at", across).withColumn("at", F.avg("at").over(whole))
+    return coalesce_intervals(lined, line, "lo", "hi", along, F.min("at").alias("at")).select(*key, "vertical", "at", "lo", "hi")
 
 
 def _covers(rule: Column, lo: Column, hi: Column) -> Column:
@@ -43,21 +52,26 @@ def tables(regions: DataFrame, pieces: DataFrame, words: DataFrame, page: list[s
     of the region), ``open cell`` (a side that no rule covers), ``outside text``, ``characters`` (a word that leaves its cell, so
     that its characters would be lost), ``long cell`` (over 120 characters, unless the first row is short headings), ``image``.
     ``cells`` are the texts by row, null where a test fails. Regions do not overlap, or a word counts in each.
+
+    All meets in parts whose number grows with the regions: by page where things meet regions, then by region to the end.
     """
+    n, own = tasks(regions), [*page, "region"]
     f = [F.col(c).cast("double").alias(f"f_{c}") for c in ("x0", "top", "x1", "bottom")]
-    r = regions.select(*page, "region", *f)
+    boxes = regions.select(*own, *f)
+    r = boxes.repartition(n, *page)
     cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
 
-    def inside(df: DataFrame, slack: float) -> DataFrame:
-        return df.join(r, page).where((cx >= F.col("f_x0") - slack) & (cx <= F.col("f_x1") + slack) & (cy >= F.col("f_top") - slack) & (cy <= F.col("f_bottom") + slack))
+    def within(slack: float) -> Column:
+        return (cx >= F.col("f_x0") - slack) & (cx <= F.col("f_x1") + slack) & (cy >= F.col("f_top") - slack) & (cy <= F.col("f_bottom") + slack)
 
-    rules = stitched(inside(pieces, 2).select(*page, "region", "x0", "top", "x1", "bottom"), [*page, "region"])
-    at = rules.groupBy(*page, "region", "vertical", "at").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+    met = pieces.select(*page, "x0", "top", "x1", "bottom").repartition(n, *page).join(r, page).where(within(2))
+    rules = stitched(met.select(*own, "x0", "top", "x1", "bottom").repartition(n, *own), own)
+    at = rules.groupBy(*own, "vertical", "at").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
     def side(vertical: bool) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("vertical") == vertical, F.struct("at", "spans"))))
 
-    g = r.join(at.groupBy(*page, "region").agg(side(False).alias("h"), side(True).alias("v")), [*page, "region"], "left")
+    g = boxes.repartition(n, *own).join(at.groupBy(*own).agg(side(False).alias("h"), side(True).alias("v")), own, "left")
     none = F.array().cast(at.select(F.array(F.struct("at", "spans"))).schema[0].dataType)
     g = g.withColumn("h", F.coalesce("h", none)).withColumn("v", F.coalesce("v", none))
     n_rows, n_columns = F.size("h") - 1, F.size("v") - 1
@@ -72,27 +86,29 @@ def tables(regions: DataFrame, pieces: DataFrame, words: DataFrame, page: list[s
     area = (last("v") - first("v")) * (last("h") - first("h")) / ((F.col("f_x1") - F.col("f_x0")) * (F.col("f_bottom") - F.col("f_top")))
     shape = F.when(F.size("h") + F.size("v") < 4, "few rules").when((n_rows < 2) | (n_columns < 2), "one row or column").when(area < 0.8, "small").when(~whole, "open cell")
     g = g.withColumn("_shape", shape).withColumn("n_rows", n_rows).withColumn("n_columns", n_columns)
-    w = inside(words.select(*page, "id", "x0", "x1", "top", "bottom", "text"), 0).select(*page, "region", "id", "x0", "x1", "top", "bottom", "text")
-    w = w.join(g.where("_shape is null").select(*page, "region", "h", "v"), [*page, "region"])
+    g = cut(g.select(*boxes.columns, "h", "v", "_shape", "n_rows", "n_columns"))  # made once; no task holds rules and words
+    w = words.select(*page, "id", "x0", "x1", "top", "bottom", "text").repartition(n, *page)
+    w = w.join(g.where("_shape is null").repartition(n, *page), page).where(within(0))
     spot = lambda c, at: F.size(F.filter(c, lambda x: x["at"] <= at))
     w = w.withColumn("_i", spot("h", cy)).withColumn("_j", spot("v", cx))
     out = (cx < first("v") - 1) | (cx > last("v") + 1) | (cy < first("h") - 1) | (cy > last("h") + 1)
     i, j = F.least(F.greatest("_i", F.lit(1)), F.size("h") - 1), F.least(F.greatest("_j", F.lit(1)), F.size("v") - 1)
     w = w.withColumn("_out", out).withColumn("_i", i).withColumn("_j", j)
     fits = (F.col("x0") >= F.get("v", F.col("_j") - 1)["at"] - MISS) & (F.col("x1") <= F.get("v", F.col("_j"))["at"] + MISS) & (F.col("top") >= F.get("h", F.col("_i") - 1)["at"] - MISS) & (F.col("bottom") <= F.get("h", F.col("_i"))["at"] + MISS)
-    cell = w.withColumn("_fits", fits).groupBy(*page, "region", "_i", "_j").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.bround(F.col("top") / 3).alias("row"), "x0", "id", "text"))), lambda x: x["text"]), " ").alias("text"), F.bool_or("_out").alias("out"), F.bool_and("_fits").alias("fits"))
-    filled = cell.groupBy(*page, "region").agg(F.bool_or("out").alias("_out"), F.bool_and("fits").alias("_fits"), F.map_from_entries(F.collect_list(F.struct((F.col("_i") * 10_000 + F.col("_j")).alias("k"), "text"))).alias("texts"))
-    g = g.join(filled, [*page, "region"], "left")
+    w = w.select(*own, "id", "x0", "top", "text", "_i", "_j", "_out", fits.alias("_fits")).repartition(n, *own)
+    cell = w.groupBy(*own, "_i", "_j").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.bround(F.col("top") / 3).alias("row"), "x0", "id", "text"))), lambda x: x["text"]), " ").alias("text"), F.bool_or("_out").alias("out"), F.bool_and("_fits").alias("fits"))
+    filled = cell.groupBy(*own).agg(F.bool_or("out").alias("_out"), F.bool_and("fits").alias("_fits"), F.map_from_entries(F.collect_list(F.struct((F.col("_i") * 10_000 + F.col("_j")).alias("k"), "text"))).alias("texts"))
+    g = g.select(*own, "_shape", "n_rows", "n_columns").repartition(n, *own).join(filled, own, "left")
     cells = F.transform(pairs(F.col("n_rows")), lambda i: F.transform(pairs(F.col("n_columns")), lambda j: F.coalesce(F.try_element_at("texts", i * 10_000 + j), F.lit(""))))
     g = g.withColumn("_cells", cells)
     short = F.forall(F.get("_cells", F.lit(0)), lambda c: F.length(c).between(1, 40))
     long = F.exists("_cells", lambda row: F.exists(row, lambda c: F.length(c) > 120)) & ~short
     failed = F.coalesce("_shape", F.when(F.col("_out"), "outside text").when(~F.col("_fits"), "characters").when(long, "long cell"))
     if images is not None:
-        drawn = inside(images, 0).select(*page, "region").distinct().withColumn("_image", F.lit(True))
-        g = g.join(drawn, [*page, "region"], "left")
+        drawn = images.select(*page, "x0", "top", "x1", "bottom").repartition(n, *page).join(r, page).where(within(0)).select(*own).distinct().withColumn("_image", F.lit(True))
+        g = g.join(drawn, own, "left")
         failed = F.coalesce(failed, F.when(F.col("_image"), "image"))
-    return g.select(*page, "region", failed.alias("failed"), "n_rows", "n_columns", F.when(failed.isNull(), F.col("_cells")).alias("cells"))
+    return g.select(*own, failed.alias("failed"), "n_rows", "n_columns", F.when(failed.isNull(), F.col("_cells")).alias("cells"))
 
 
 def as_markdown(cells: Column) -> Column:

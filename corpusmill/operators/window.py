@@ -72,13 +72,13 @@ def increasing(numbers: Column) -> Column:
     )
 
 
-def coalesce_intervals(df: DataFrame, key: list[str], lo: str, hi: str, slack: float = 0.0) -> DataFrame:
-    """Intervals that overlap or lie within ``slack`` become one: key, lo, hi, n."""
+def coalesce_intervals(df: DataFrame, key: list[str], lo: str, hi: str, slack: float = 0.0, *also: Column) -> DataFrame:
+    """Intervals that overlap or lie within ``slack`` become one: key, lo, hi, n, and the aggregates ``also``."""
     w = Window.partitionBy(*key).orderBy(lo, hi)
     reach = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
     m = df.withColumn("_new", (F.coalesce(F.col(lo) > reach + slack, F.lit(True))).cast("int"))
     m = m.withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return m.groupBy(*key, "_g").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"), F.count(F.lit(1)).alias("n")).drop("_g")
+    return m.groupBy(*key, "_g").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"), F.count(F.lit(1)).alias("n"), *also).drop("_g")
 
 
 def gaps(df: DataFrame, key: list[str], lo: str, hi: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from corpusmill.operators import answer_keys as K
 from corpusmill.operators import dedup, layout, link
 from corpusmill.operators import revisions as V
+from corpusmill.operators import rulings as R
 
 
 def plan(df, which="optimizedPlan"):
@@ -64,3 +65,19 @@ def test_readings_are_made_once(spark):
     keys = K.resolved_keys(exams, files)
     assert sorted((r.number, r.language or "", r.answer) for r in keys.collect()) == [(1, "", "A"), (2, "", "B"), (4, "", "D"), (6, "", "C"), (12, "espanhol", "E"), (12, "inglês", "A")]
     assert "Generate explode(found" in plan(keys) and "Filter (size(" not in plan(keys)
+
+
+def test_rules_are_made_once_and_parts_grow_with_regions(spark, monkeypatch):
+    made, whole = [], R.cut
+    monkeypatch.setattr(R, "cut", lambda df: made.append(plan(df)) or whole(df))
+    monkeypatch.setattr(R, "REGIONS", 2)
+    rows = [(k, 0.0, 20.0 * i - 0.5, 200.0, 20.0 * i + 0.5) for k in range(60) for i in range(3)] + [(k, 100.0 * i - 0.5, 0.0, 100.0 * i + 0.5, 40.0) for k in range(60) for i in range(3)]
+    pieces = spark.createDataFrame(rows, "page int, x0 double, top double, x1 double, bottom double")
+    assert "Join" not in plan(R.stitched(pieces, ["page"]))
+    regions = spark.createDataFrame([(k, k, 0.0, 0.0, 200.0, 40.0) for k in range(60)], "page int, region int, x0 double, top double, x1 double, bottom double")
+    words = spark.createDataFrame([(k, w, 10.0 + 100 * w, 30.0 + 100 * w, 5.0, 13.0, f"{k}.{w}") for k in range(60) for w in range(2)], "page int, id long, x0 double, x1 double, top double, bottom double, text string")
+    t = R.tables(regions, pieces, words, ["page"])
+    assert {r.region: r.cells for r in t.collect()} == {k: [[f"{k}.0", f"{k}.1"], ["", ""]] for k in range(60)}
+    assert len(made) == 1 and "Window" in made[0] and "Window" not in plan(t)
+    assert R.tasks(regions) == 31 and "RepartitionByExpression [page" in plan(t) and ", 31" in plan(t)
+    assert R.tasks(spark.range(2 * R.TASKS + 2)) == R.TASKS
