@@ -8,20 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
-from .blocks import ROWS, every_two, in_blocks, nearest_by_bits
+from .blocks import ROWS, every_two, in_blocks, nearest_by_bits, parts
 from .window import coalesce_intervals, lines_by_tolerance
 
 #: How far pieces of one rule may lie apart, across it and along it, and how far a rule may miss a crossing.
 ACROSS, ALONG, MISS = 1.5, 3.0, 2.0
 #: A thing this thin is a rule.
 THIN = 2.5
-#: Regions that one task takes, and the most tasks (up to 200, Spark writes shuffled rows without holding them to sort them).
-REGIONS, TASKS = 10_000, 200
-
-
-def tasks(regions: DataFrame) -> int:
-    """Into how many parts pages with these regions are dealt: by their number, and never fewer than the session's."""
-    return max(int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(TASKS, regions.count() // REGIONS + 1))
+#: Regions that one task takes.
+REGIONS = 10_000
 
 
 def stitched(pieces: DataFrame, key: list[str], across: float = ACROSS, along: float = ALONG) -> DataFrame:
@@ -55,7 +50,7 @@ def tables(regions: DataFrame, pieces: DataFrame, words: DataFrame, page: list[s
 
     All meets in parts whose number grows with the regions: by page where things meet regions, then by region to the end.
     """
-    n, own = tasks(regions), [*page, "region"]
+    n, own = parts(regions, REGIONS), [*page, "region"]
     f = [F.col(c).cast("double").alias(f"f_{c}") for c in ("x0", "top", "x1", "bottom")]
     boxes = regions.select(*own, *f)
     r = boxes.repartition(n, *page)

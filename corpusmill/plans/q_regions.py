@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import regions as R
+from ..operators.blocks import parts
 from .registry import query
 
 
@@ -76,8 +77,10 @@ def item_owners(read):
     kind = F.when(p % 10 == 0, "header").when(p % 10 < 4, "figure").otherwise("line")
     top = (p % 40 * 20).cast("double")
     k = F.row_number().over(Window.partitionBy("l_suppkey", "l_linenumber").orderBy("l_orderkey", "l_partkey")) - 1
-    items = read("lineitem").select(
+    lines = read("lineitem").select("l_suppkey", "l_linenumber", "l_orderkey", "l_partkey")
+    n = parts(lines, R.ITEMS)
+    items = lines.repartition(n, "l_suppkey", "l_linenumber").select(
         F.col("l_suppkey").alias("doc"), F.col("l_linenumber").alias("page"), k.cast("long").alias("k"), kind.alias("kind"), F.when(o % 3 == 1, 300.0).otherwise(0.0).alias("x0"),
         F.when(o % 3 == 0, 300.0).otherwise(600.0).alias("x1"), top.alias("top"), (top + F.when(kind == "figure", 40 + p % 2 * 2).otherwise(10)).alias("bottom"),
     )
-    return R.owned_items(items, ["doc", "page"]).select("doc", "page", "k", "owner", "place")
+    return R.owned_items(items, ["doc", "page"], n).select("doc", "page", "k", "owner", "place")

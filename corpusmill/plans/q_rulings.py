@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import rulings as R
+from ..operators.blocks import parts
 from .registry import query
 
 
@@ -36,7 +37,7 @@ def ruled_tables(read):
     flat = F.transform(F.sequence(F.lit(0), F.col("nr")), lambda i: piece(F.lit(0.0), y0 + i * 20.0 - 0.5, F.when((F.col("kind") == 1) & (i == 1), wide - 50).otherwise(wide), y0 + i * 20.0 + 0.5))
     upright = F.transform(F.sequence(F.lit(0), F.col("nc")), lambda j: piece(j * 100.0 - 0.5, y0, j * 100.0 + 0.5, y0 + tall))
     pieces = o.select(r.alias("page"), F.inline(F.concat(flat, upright)))
-    lines = read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey").repartition(R.tasks(o), "l_orderkey")  # items meet their order where they are summed
+    lines = read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey").repartition(parts(o, R.REGIONS), "l_orderkey")  # items meet their order where they are summed
     items = lines.groupBy(F.col("l_orderkey").alias("region"), F.col("l_linenumber").alias("n")).agg(F.min("l_partkey").alias("p")).join(o, "region")
     k = (F.col("n") - 1) % (F.col("nr") * F.col("nc"))
     x0, top = (k % F.col("nc")) * 100.0 + 5 + F.floor((F.col("n") - 1) / (F.col("nr") * F.col("nc"))) * 30, y0 + F.floor(k / F.col("nc")) * 20.0 + 5

@@ -79,5 +79,5 @@ def test_rules_are_made_once_and_parts_grow_with_regions(spark, monkeypatch):
     t = R.tables(regions, pieces, words, ["page"])
     assert {r.region: r.cells for r in t.collect()} == {k: [[f"{k}.0", f"{k}.1"], ["", ""]] for k in range(60)}
     assert len(made) == 1 and "Window" in made[0] and "Window" not in plan(t)
-    assert R.tasks(regions) == 31 and "RepartitionByExpression [page" in plan(t) and ", 31" in plan(t)
-    assert R.tasks(spark.range(2 * R.TASKS + 2)) == R.TASKS
+    assert R.parts(regions, 2) == 31 and "RepartitionByExpression [page" in plan(t) and ", 31" in plan(t)
+    assert R.parts(spark.range(402), 2) == 200
