@@ -83,3 +83,14 @@ def test_fallback_meets_one_key_of_each_coverage(spark, tmp_path, monkeypatch):
         want[i] = ("own", None) if flag != "N" else ("none" if other is None else "sibling", other)
     assert got == want and {v for v, _ in got.values()} == {"own", "sibling", "none"}
     assert met == [600]  # not 100 keys for each of 300 ids
+
+
+def test_pairs_and_kinds_of_frequent_hashes(spark, tmp_path):
+    """Near copies whose shared hashes are all in more than 80 documents, and equal ones among them."""
+    base = " ".join(f"word{k}" for k in range(200))
+    docs = [(i, f"{base} end{i}", "en", "s") for i in range(90)] + [(90, f"{base} end0", "en", "s"), (91, "other " * 40, "en", "s"), (92, "other " * 40, "en", "s")]
+    at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string, lang string, source string"))
+    pairs = {(a, b) for a in range(91) for b in range(a + 1, 91)}
+    got = QUERIES["jaccard_est"](spark, at).collect()
+    assert len(got) == len(pairs) and {(r.a, r.b) for r in got} == pairs
+    assert all(r.jaccard > 0.9 and (r.shingles_a, r.shingles_b) == (196, 196) for r in got) and [r.jaccard for r in got if (r.a, r.b) == (0, 90)] == [1.0]
