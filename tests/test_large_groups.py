@@ -94,3 +94,4 @@ def test_pairs_and_kinds_of_frequent_hashes(spark, tmp_path):
     got = QUERIES["jaccard_est"](spark, at).collect()
     assert len(got) == len(pairs) and {(r.a, r.b) for r in got} == pairs
     assert all(r.jaccard > 0.9 and (r.shingles_a, r.shingles_b) == (196, 196) for r in got) and [r.jaccard for r in got if (r.a, r.b) == (0, 90)] == [1.0]
+    assert {(r.a, r.b): r.kind for r in QUERIES["dup_type"](spark, at).collect()} == {(a, b): "same_exam" if a % 2 == 0 else "same_content" if a % 3 == b % 3 else "check" for a, b in pairs}
