@@ -95,3 +95,14 @@ def test_pairs_and_kinds_of_frequent_hashes(spark, tmp_path):
     assert len(got) == len(pairs) and {(r.a, r.b) for r in got} == pairs
     assert all(r.jaccard > 0.9 and (r.shingles_a, r.shingles_b) == (196, 196) for r in got) and [r.jaccard for r in got if (r.a, r.b) == (0, 90)] == [1.0]
     assert {(r.a, r.b): r.kind for r in QUERIES["dup_type"](spark, at).collect()} == {(a, b): "same_exam" if a % 2 == 0 else "same_content" if a % 3 == b % 3 else "check" for a, b in pairs}
+
+
+def test_suppression_loses_no_near_copies(spark, tmp_path):
+    """Near copies in a group of over 80, and short texts that share few hashes."""
+    base = " ".join(f"w{k}" for k in range(60))
+    docs = [(i, f"{base} end{i}", "en", f"s{i % 3}") for i in range(90)] + [(90, f"{base} end7", "fr", "s0")]
+    words = [f"x{k}" for k in range(16)]
+    docs += [(91, " ".join(words), "en", "s1"), (92, " ".join(words[:15]), "en", "s2"), (93, "a b c", None, "s0"), (94, "A b  c", None, "s1"), (95, "a b", "en", "s0")]
+    at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string, lang string, source string"))
+    want = suppressed_in_turn(docs)
+    assert {r.doc_id: r.keeper for r in QUERIES["suppress_copies"](spark, at).collect()} == want and sum(v is not None for v in want.values()) == 91
