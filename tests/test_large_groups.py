@@ -106,3 +106,10 @@ def test_suppression_loses_no_near_copies(spark, tmp_path):
     at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string, lang string, source string"))
     want = suppressed_in_turn(docs)
     assert {r.doc_id: r.keeper for r in QUERIES["suppress_copies"](spark, at).collect()} == want and sum(v is not None for v in want.values()) == 91
+
+
+def test_components_join_near_copies_in_large_groups(spark, tmp_path):
+    base = " ".join(f"word{k}" for k in range(60))
+    docs = [(i, f"{base} end{i % 90}" + " " * (i > 95)) for i in range(100)] + [(100, "other " * 40), (101, "short")]
+    at = stored(spark, tmp_path, documents=(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.cluster_id for r in QUERIES["components"](spark, at).collect()} == {i: 0 for i in range(100)} | {100: 100, 101: 101}
